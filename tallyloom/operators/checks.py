@@ -26,8 +26,8 @@ def _totals(measures: Mapping[str, Column]) -> list[Column]:
 def totals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column with its sum, and one with the number of rows."""
     measures = {name: F.col(quoted(name)) for name in columns}
-    wide = df.agg(_exact(F.count(F.lit(1))).alias("ROWS"), *_totals(measures))
-    return wide.unpivot([], ["ROWS", *columns], "CHECK", "TOTAL")
+    wide = df.agg(_exact(F.count(F.lit(1))).alias("N_ROWS"), *_totals(measures))
+    return wide.unpivot([], ["N_ROWS", *columns], "CHECK_NAME", "TOTAL")
 
 
 def control_totals(
@@ -43,7 +43,7 @@ def control_totals(
     def tall(df: DataFrame, names: Mapping[str, str], label: str) -> DataFrame:
         measures = {check: F.col(quoted(name)) for check, name in names.items()}
         wide = df.agg(*_totals(measures))
-        return wide.unpivot([], list(names), "CHECK", label)
+        return wide.unpivot([], list(names), "CHECK_NAME", label)
 
     first = tall(before, {name: name for name in pairs}, "BEFORE")
     second = tall(after, pairs, "AFTER")
@@ -51,7 +51,7 @@ def control_totals(
         second.withColumn("BEFORE", F.lit(None).cast("decimal(38,4)"))
     )
     return (
-        sides.groupBy("CHECK")
+        sides.groupBy("CHECK_NAME")
         .agg(F.max("BEFORE").alias("BEFORE"), F.max("AFTER").alias("AFTER"))
         .withColumn("DIFFERENCE", F.col("AFTER") - F.col("BEFORE"))
     )
@@ -66,7 +66,7 @@ def observe_totals(
     """
     observation = Observation(name)
     measures = {column: F.col(quoted(column)) for column in columns}
-    watched = df.observe(observation, F.count(F.lit(1)).alias("ROWS"), *_totals(measures))
+    watched = df.observe(observation, F.count(F.lit(1)).alias("N_ROWS"), *_totals(measures))
     return watched, observation
 
 
@@ -75,14 +75,14 @@ def invalid_keys(df: DataFrame, key: str = "ISBN") -> DataFrame:
     return (
         df.filter(is_invalid_isbn(F.col(quoted(key))))
         .groupBy(F.col(quoted(key)))
-        .agg(F.count(F.lit(1)).alias("ROWS"))
+        .agg(F.count(F.lit(1)).alias("N_ROWS"))
     )
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number of nulls per column, one row each."""
     wide = df.agg(*(F.count_if(F.col(quoted(name)).isNull()).alias(name) for name in columns))
-    return wide.unpivot([], list(columns), "COLUMN", "NULLS")
+    return wide.unpivot([], list(columns), "COLUMN_NAME", "N_NULLS")
 
 
 def sign_profile(df: DataFrame, measures: Sequence[str]) -> DataFrame:
@@ -106,7 +106,7 @@ def sign_profile(df: DataFrame, measures: Sequence[str]) -> DataFrame:
                 F.struct(
                     F.lit(measure).alias("MEASURE"),
                     F.lit(label).alias("SIGN"),
-                    F.count_if(test(column)).alias("ROWS"),
+                    F.count_if(test(column)).alias("N_ROWS"),
                     F.coalesce(_exact(total), _exact(F.lit(0))).alias("TOTAL"),
                 )
             )

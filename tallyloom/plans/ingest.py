@@ -106,7 +106,7 @@ def ingest_checks(rows: DataFrame) -> DataFrame:
     amount = F.col("NETAMT")
     nothing = F.lit(0)
     checks = {
-        "ROWS": F.count(F.lit(1)),
+        "N_ROWS": F.count(F.lit(1)),
         "UNITS": or_zero(F.sum("NETUNITS")),
         "AMOUNT": or_zero(F.sum(amount)),
         "DROPPED_ROWS": F.count_if(~complete),
@@ -117,4 +117,4 @@ def ingest_checks(rows: DataFrame) -> DataFrame:
     wide = rows.agg(
         *(column.cast("decimal(38,4)").alias(name) for name, column in checks.items())
     )
-    return wide.unpivot([], list(checks), "CHECK", "VALUE")
+    return wide.unpivot([], list(checks), "CHECK_NAME", "VALUE")

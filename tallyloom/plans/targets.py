@@ -25,6 +25,8 @@ from tallyloom.operators.targets import flag_shared, scale_targets, usable_targe
 from tallyloom.periods import month_label, trailing_months
 from tallyloom.sources.schemas import SALES_A, SALES_S
 
+# Channels are numbers, which a hash aggregation can take the smallest of.
+CHANNEL_A, CHANNEL_S = 1, 2
 # Absolute amounts are what a target is scaled from; see `scale_targets`.
 SIZE = "SIZE"
 
@@ -32,10 +34,10 @@ SIZE = "SIZE"
 def facts_of(sales_a: DataFrame, sales_s: DataFrame) -> DataFrame:
     """Both channels by account, with amounts cut to whole currency units."""
 
-    def channel(df: DataFrame, label: str, account: str) -> DataFrame:
+    def channel(df: DataFrame, number: int, account: str) -> DataFrame:
         amount = whole(F.col("NETAMT"))
         return df.select(
-            F.lit(label).alias("CHANNEL"),
+            F.lit(number).alias("CHANNEL"),
             F.col(account).alias("ACCOUNT"),
             "NAMECUST",
             "SALES_CATEGORY",
@@ -47,8 +49,8 @@ def facts_of(sales_a: DataFrame, sales_s: DataFrame) -> DataFrame:
 
     return union_all(
         [
-            channel(conform(sales_a, SALES_A), "A", "HQ_NUMBER"),
-            channel(conform(sales_s, SALES_S), "S", "ACCOUNT_ID"),
+            channel(conform(sales_a, SALES_A), CHANNEL_A, "HQ_NUMBER"),
+            channel(conform(sales_s, SALES_S), CHANNEL_S, "ACCOUNT_ID"),
         ]
     )
 

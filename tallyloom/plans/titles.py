@@ -48,6 +48,24 @@ def product_columns(products: DataFrame) -> DataFrame:
     )
 
 
+def title_matrix(
+    sales: DataFrame, as_of: date, *, active_only: bool = True, whole_amounts: bool = True
+) -> DataFrame:
+    """Period sums per product and title.
+
+    `active_only` leaves out titles without a sale in the year to date.
+    `whole_amounts` cuts each amount to whole currency units before adding.
+    """
+    facts = look_back(conform(sales, BOOK_LEVEL_SALES), as_of)
+    if whole_amounts:
+        facts = facts.withColumn("NETAMT", whole(F.col("NETAMT")))
+    if not active_only:
+        return period_matrix(facts, KEYS, buckets(as_of), as_of)
+    in_ytd = F.count_if(period_key().between(*ytd_span(as_of)))
+    matrix = period_matrix(facts, KEYS, buckets(as_of), as_of, carry={"_ytd_rows": in_ytd})
+    return matrix.filter("_ytd_rows > 0").drop("_ytd_rows")
+
+
 def report_titles(
     sales: DataFrame,
     products: DataFrame,
@@ -57,23 +75,12 @@ def report_titles(
     active_only: bool = True,
     whole_amounts: bool = True,
 ) -> DataFrame:
-    """Units and dollars per product and title.
+    """Units and dollars per product and title, with stock and backorders.
 
-    `active_only` leaves out titles without a sale in the year to date.
-    `whole_amounts` cuts each amount to whole currency units before adding.
     Products and backorders are found by product key; the backorders of a
-    product are added up over its titles.
+    product are added up over its titles. See `title_matrix` for the options.
     """
-    facts = look_back(conform(sales, BOOK_LEVEL_SALES), as_of)
-    if whole_amounts:
-        facts = facts.withColumn("NETAMT", whole(F.col("NETAMT")))
-    periods = buckets(as_of)
-    in_ytd = F.count_if(period_key().between(*ytd_span(as_of)))
-    matrix = period_matrix(
-        facts, KEYS, periods, as_of, carry={"_ytd_rows": in_ytd} if active_only else None
-    )
-    if active_only:
-        matrix = matrix.filter(F.col("_ytd_rows") > 0).drop("_ytd_rows")
+    matrix = title_matrix(sales, as_of, active_only=active_only, whole_amounts=whole_amounts)
     report = lookup(matrix, product_columns(products), ["ISBN"])
     waiting = (
         backorders.select(strip(F.col("ISBN").cast("string")).alias("ISBN"), "QTY")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions.names import all_quoted
+from tallyloom.functions.names import all_quoted, quoted
 from tallyloom.functions.text import strip
 
 
@@ -46,7 +46,7 @@ def read_block(spark: SparkSession, path: str, schema: T.StructType, **options:
             F.monotonically_increasing_id().alias("row"),
         ).alias("_place"),
     )
-    first = F.col(f"`{schema.names[0]}`")
+    first = F.col(quoted(schema.names[0]))
     blank = F.coalesce(strip(first), F.lit("")) == ""
     end = placed.filter(blank).agg(F.min("_place").alias("_end")).scalar()
     return placed.filter(end.isNull() | (F.col("_place") < end)).drop("_place")
