@@ -20,6 +20,16 @@ SESSION_CONF = {
 }
 
 
+# A shuffle partition of this size is sorted and aggregated in memory.
+PARTITION_BYTES = 512 * 1024 * 1024
+MOST_PARTITIONS = 32_768
+
+
+def partitions_for(shuffle_bytes: int) -> int:
+    """Shuffle partitions for an expected shuffle, from 200 to `MOST_PARTITIONS`."""
+    return max(200, min(MOST_PARTITIONS, -(-shuffle_bytes // PARTITION_BYTES)))
+
+
 def build_session(
     app: str = "tallyloom",
     master: str | None = None,
@@ -28,8 +38,9 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings the reports are tuned for.
 
-    `master` and `shuffle_partitions` are for local runs; on a cluster leave
-    both to the submit command.
+    `master` is for local runs; on a cluster it comes from the submit command.
+    `shuffle_partitions` is the count a shuffle starts with, see
+    `partitions_for`; the runtime merges what turns out too small.
     """
     builder = SparkSession.builder.appName(app)
     if master:
