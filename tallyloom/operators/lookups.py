@@ -75,19 +75,24 @@ def lookup(
     `unique`, the first row per key is used. A null key finds nothing, or the
     null key with `null_safe`.
 
-    Strategy: a stored `table` is measured and broadcast up to `limit` bytes.
-    Above that, and for a table that is itself a big query (`measured=False`),
-    both sides are shuffled by the key and a salt: the table is repeated
-    `salts` times and the rows of `df` are spread over the copies by a hash of
-    their other columns, so no key is bound to one task. The runtime may still
-    broadcast an unmeasured table, by the size it then really has, or split a
-    partition that is skewed all the same.
+    Strategy, by the size of `table`:
+
+    * A stored table is measured first. Up to `limit` bytes it is broadcast.
+      Above that, it is repeated `salts` times and the rows of `df` are spread
+      over the copies by a hash of their other columns, so that a hot key is
+      shared by many tasks.
+    * A table that is itself a big query (`measured=False`) is not run twice to
+      be measured. The runtime knows its size once it is shuffled, and then
+      broadcasts it or, in the sort-merge join, splits the partitions of hot
+      keys. It can only split partitions that come straight from a shuffle,
+      while a grouped table would be joined where its grouping left it; the
+      second join column, a function of the key, makes Spark shuffle it.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
     right = table if unique else first_by_key(table, list(pairs.values()))
     staged = {name: f"_key_{n}" for n, name in enumerate(pairs.values())}
     right = right.withColumnsRenamed(staged)
-    found = [name for name in right.columns if name not in set(staged.values())]
+    found = [name for name in right.columns if name not in staged.values()]
 
     def matches(left_key: str) -> Column:
         left_side, right_side = F.col(quoted(left_key)), F.col(staged[pairs[left_key]])
@@ -97,16 +102,17 @@ def lookup(
     left = df
     if measured and fits_broadcast(table, limit):
         right = F.broadcast(right)
-    else:
+    elif measured:
         others = all_quoted(name for name in df.columns if name not in pairs)
         salt = F.pmod(F.xxhash64(*others), F.lit(salts)) if others else F.lit(0).cast("bigint")
         left = df.withColumn("_salt", salt)
-        right = right.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-        )
+        copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        right = right.withColumn("_copy", F.explode(copies)).hint("merge")
         clauses.append(F.col("_salt") == F.col("_copy"))
-        if measured:
-            right = right.hint("merge")
+    else:
+        left = df.withColumn("_of_key", F.xxhash64(*all_quoted(pairs)))
+        right = right.withColumn("_of_found", F.xxhash64(*staged.values()))
+        clauses.append(F.col("_of_key") == F.col("_of_found"))
     joined = left.join(right, reduce(and_, clauses), "left")
     return joined.select(*all_quoted([*df.columns, *found]))
 

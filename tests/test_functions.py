@@ -53,8 +53,12 @@ def test_rounding_and_truncation(spark):
 
 def test_dates(spark):
     rows = ["garbage", "1/5/2025", "01/05/2025", "13/5/2025", None]
+    wrong = ["2025-01-05", "1/5/25", "1/5/2025/7", "1/5/2025 10:00", "2/30/2025", "1//2025", "/"]
     months = values(spark, rows, "string", lambda c: F.month(numbers.raw_date(c)))
     assert months == [None, 1, 1, None, None]
+    assert values(spark, wrong, "string", numbers.raw_date) == [None] * len(wrong)
+    days = values(spark, ["2/29/2024", "12/31/1999"], "string", numbers.raw_date)
+    assert [str(day) for day in days] == ["2024-02-29", "1999-12-31"]
 
 
 def test_percent(spark):

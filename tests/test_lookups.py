@@ -76,6 +76,33 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert share[0] < 6_000
 
 
+def test_runtime_splits_a_hot_key_of_an_unmeasured_table(spark):
+    sales = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("K"),
+        F.xxhash64("id").alias("V"),
+    )
+    table = sales.groupBy("K").agg(F.count("V").alias("TOTAL"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookups.lookup(sales, table, ["K"], unique=True, measured=False)
+        checked = joined.agg(F.count("TOTAL"), F.sum(F.when(F.col("K") == "hot", 1)))
+        assert [tuple(row) for row in checked.collect()] == [(200_000, 66_667)]
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_fill_and_names(spark):
     rows = spark.createDataFrame([("1", None), ("1", "own"), ("2", None)], "I string, T string")
     titles = spark.createDataFrame([("1", "b"), ("1", "a")], "Z string, L string")
