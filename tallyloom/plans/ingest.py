@@ -45,7 +45,7 @@ def clean_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> Da
     names = titles.select(
         strip(F.col("Z_ID").cast("string")).alias("Z_ID"),
         strip(F.col("LONG_TITLE")).alias("LONG_TITLE"),
-    ).distinct()
+    )
     rows = fill_from(rows, names, {"ISBN": "Z_ID"}, "TITLE", "LONG_TITLE")
     day = raw_date(F.col("Date"))
     rows = rows.withColumns(

@@ -77,7 +77,7 @@ def add_city_state(df: DataFrame, locations: DataFrame, customer: str) -> DataFr
         strip(F.col("NAMECUST")).alias("_place_of"),
         strip(F.col("NAMECITY")).alias("CITY"),
         strip(F.col("CODESTTE")).alias("STATE"),
-    ).distinct()
+    )
     keyed = df.withColumn("_plain_name", strip_name_mark(F.col(quoted(customer))))
     return lookup(keyed, places, {"_plain_name": "_place_of"}).drop("_plain_name")
 

@@ -44,6 +44,11 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def _long_key(name: str) -> Column:
+    """The key with 13 characters, as in the raw files."""
+    return F.lpad(_text(name), 13, "0")
+
+
 def _signed(column: Column) -> Column:
     return F.when(F.col("l_returnflag") == "R", -column).otherwise(column)
 
@@ -270,10 +275,12 @@ def raw_sales(spark: SparkSession, sf_dir: str, *, spoilt_keys: bool = False) ->
     are unreadable, units carry halves, texts carry white space. With
     `spoilt_keys`, product keys look like numbers a spreadsheet has kept.
     """
-    ean = F.format_string("%013d", F.col("l_partkey"))
+    ean = _long_key("l_partkey")
     if spoilt_keys:
         ean = F.concat(ean, F.lit(".0"))
-    day = F.date_format("o_orderdate", "M/d/yyyy")
+    day = F.concat_ws(
+        "/", F.month("o_orderdate"), F.dayofmonth("o_orderdate"), F.year("o_orderdate")
+    )
     units = _signed(F.col("l_quantity") + F.col("l_linenumber") / 2)
     return sales(spark, sf_dir).select(
         ean.alias("EAN"),
@@ -296,7 +303,7 @@ def raw_sales(spark: SparkSession, sf_dir: str, *, spoilt_keys: bool = False) ->
 def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title lookup by the 13-character key of the raw file, each title twice."""
     once = table(spark, sf_dir, "part").select(
-        F.format_string("%013d", F.col("p_partkey")).alias("Z_ID"),
+        _long_key("p_partkey").alias("Z_ID"),
         F.col("p_name").alias("LONG_TITLE"),
     )
     again = once.withColumn("LONG_TITLE", F.concat("LONG_TITLE", F.lit(" (2nd)")))
