@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
