@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -58,12 +57,10 @@ def build_session(
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Where that is unset, only a local
-    session may go on, with a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir``; where that is unset, under the
+    warehouse, which a cluster shares as well. Never under a folder of one machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediates"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
