@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tallyloom.llm.storage import written
 from tallyloom.llm.text import words_of
 
+# Room for the place of a word within its text: 16 million words.
+_PLACE_BITS = 24
+
+
 def let(value: Column, body) -> Column:
     """`body` of a value that is computed once, also inside lambdas of the body."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -19,31 +23,49 @@ def let(value: Column, body) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that lie in a 3-word window found twice or more, the first included.
 
-    Windows are sorted by a 64-bit hash with their places; those next to an equal
-    one are repeated. Each covers its three words, less what the window before it
-    has covered already. The work is that of a sort, also for a text that repeats
-    itself throughout.
+    A text whose window hashes are all distinct has none. Otherwise a window is a
+    whole number, the top bits of its hash before its place: sorted, equal windows
+    are neighbours, and where hashes agree the words themselves are compared. A
+    repeated window covers its three words, less what the one before has covered
+    already. The work is that of a sort, also for a text that repeats itself
+    throughout.
     """
+    at_bits = F.lit((1 << _PLACE_BITS) - 1)
 
-    def windows(bound: Column) -> Column:
+    def hashes(bound: Column) -> Column:
         return F.transform(
             F.slice(bound, 1, F.greatest(F.size(bound) - 2, F.lit(0))),
-            lambda word, i: F.struct(
-                F.xxhash64(word, F.get(bound, i + 1), F.get(bound, i + 2)).alias("h"),
-                i.alias("at"),
-            ),
+            lambda word, i: F.xxhash64(word, F.get(bound, i + 1), F.get(bound, i + 2)),
         )
 
-    def repeated(ordered: Column) -> Column:
+    def windows(hashed: Column) -> Column:
         return F.transform(
-            F.filter(
-                ordered,
-                lambda w, i: (w["h"] == F.get(ordered, i - 1)["h"])
-                | (w["h"] == F.get(ordered, i + 1)["h"]),
+            hashed,
+            lambda window, i: window.bitwiseAND(F.bitwise_not(at_bits.cast("bigint"))).bitwiseOR(
+                i.cast("bigint")
             ),
-            lambda w: w["at"],
         )
 
+    def places_in(bound: Column):
+        def at(window: Column) -> Column:
+            return window.bitwiseAND(at_bits).cast("int")
+
+        def same(x: Column, y: Column) -> Column:
+            equal = F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS)
+            for k in range(3):
+                equal = equal & (F.get(bound, at(x) + k) == F.get(bound, at(y) + k))
+            return equal
+
+        def repeated(ordered: Column) -> Column:
+            pairs = F.zip_with(
+                F.slice(ordered, 1, F.greatest(F.size(ordered) - 1, F.lit(0))),
+                F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0))),
+                lambda x, y: F.when(same(x, y), F.array(at(x), at(y))),
+            )
+            return F.sort_array(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull())))
+
+        return repeated
+
     def covered(places: Column) -> Column:
         return F.aggregate(
             F.transform(
@@ -54,8 +76,12 @@ def repeated_words(words: Column) -> Column:
             lambda total, words: total + words,
         )
 
-    places = let(F.sort_array(let(words, windows)), repeated)
-    return let(F.sort_array(places), covered).cast("bigint")
+    def counted(bound: Column):
+        return lambda hashed: F.when(
+            F.size(F.array_distinct(hashed)) == F.size(hashed), F.lit(0)
+        ).otherwise(let(let(F.sort_array(windows(hashed)), places_in(bound)), covered))
+
+    return let(words, lambda bound: let(hashes(bound), counted(bound))).cast("bigint")
 
 
 def _counted(text: Column, pattern: str) -> Column:
