@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyloom.functions.names import quoted
+from tallyloom.functions.names import all_quoted, quoted
 from tallyloom.functions.text import is_invalid_isbn
 
 
@@ -118,6 +118,24 @@ def sample_rows(df: DataFrame, condition: Column, order: Sequence[str], count: i
     return df.filter(condition).orderBy(*(F.col(quoted(name)) for name in order)).limit(count)
 
 
+def sign_samples(
+    df: DataFrame, measures: Sequence[str], order: Sequence[str], count: int = 5
+) -> DataFrame:
+    """`count` rows below and above 0 for each measure, with MEASURE and SIGN before them."""
+    return union_all(
+        [
+            sample_rows(df, condition, order, count).select(
+                F.lit(measure).alias("MEASURE"), F.lit(sign).alias("SIGN"), *all_quoted(df.columns)
+            )
+            for measure in measures
+            for sign, condition in (
+                ("NEGATIVE", F.col(quoted(measure)) < 0),
+                ("POSITIVE", F.col(quoted(measure)) > 0),
+            )
+        ]
+    )
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames, matched by column name; duplicates stay."""
     return reduce(DataFrame.unionByName, frames)

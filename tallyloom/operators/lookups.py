@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,23 +14,28 @@ from tallyloom.functions.names import all_quoted, quoted
 
 # A lookup up to this many bytes is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A larger one is repeated this many times, to spread the rows of a hot key.
-SALTS = 16
 
 def first_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by the other columns, nulls first.
+    """One row per key: that with the fewest nulls, then the smallest, nulls last.
 
-    A minimum over a struct instead of a ranked window, so that a key with
-    very many copies is reduced on the map side and never sorted in one task.
+    A row with a title, category or name is never passed over for one without.
+    Values come from one row, they aren't put together from several. A minimum
+    over a struct instead of a ranked window, so that a key with very many copies
+    is reduced on the map side and never sorted in one task.
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.distinct()
-    smallest = F.min(F.struct(*all_quoted(rest))).alias("_first")
+    missing = [F.col(quoted(name)).isNull().cast("int") for name in rest]
+    ranked = F.struct(
+        reduce(add, missing).alias("_missing"),
+        F.array(*missing).alias("_where"),
+        F.struct(*all_quoted(rest)).alias("_row"),
+    )
     return (
         df.groupBy(*all_quoted(keys))
-        .agg(smallest)
-        .select(*(quoted(n) if n in keys else f"_first.{quoted(n)}" for n in df.columns))
+        .agg(F.min(ranked).alias("_first"))
+        .select(*(quoted(n) if n in keys else f"_first._row.{quoted(n)}" for n in df.columns))
     )
 
 
@@ -57,6 +62,32 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
+def hot_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Keys with more rows than an even share of a shuffle partition.
+
+    `_places` is the number of such shares that a key fills. There are fewer of
+    these keys than partitions, whatever the size of `df`.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, df.count() // partitions)
+    return (
+        df.groupBy(*all_quoted(keys))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > share)
+        .select(*all_quoted(keys), F.ceil(F.col("_rows") / share).alias("_places"))
+    )
+
+
+def _with_places(df: DataFrame, hot: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """`_places` of each row: that of its key if it is hot, else 1."""
+    same = [F.col(quoted(key)).eqNullSafe(F.col(quoted(of_hot))) for key, of_hot in keys.items()]
+    return (
+        df.join(F.broadcast(hot), reduce(and_, same), "left")
+        .withColumn("_places", F.coalesce("_places", F.lit(1).cast("bigint")))
+        .drop(*keys.values())
+    )
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -66,27 +97,27 @@ def lookup(
     measured: bool = True,
     null_safe: bool = False,
     limit: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left join `table` to `df` without ever adding rows.
 
     `keys` maps columns of `df` to columns of `table` (or names the shared
     ones). All other columns of `table` come along. Unless it is already
-    `unique`, the first row per key is used. A null key finds nothing, or the
+    `unique`, the first row per key is used, see :func:`first_by_key`. A null key finds nothing, or the
     null key with `null_safe`.
 
     Strategy, by the size of `table`:
 
     * A stored table is measured first. Up to `limit` bytes it is broadcast.
-      Above that, it is repeated `salts` times and the rows of `df` are spread
-      over the copies by a hash of their other columns, so that a hot key is
-      shared by many tasks.
+      Above that, the keys of `df` are counted. A key with more rows than an even
+      share of the shuffle's partitions is hot: its rows are dealt to as many
+      places as it fills partitions, and only its row of `table` is repeated.
     * A table that is itself a big query (`measured=False`) is not run twice to
       be measured. The runtime knows its size once it is shuffled, and then
       broadcasts it or, in the sort-merge join, splits the partitions of hot
       keys. It can only split partitions that come straight from a shuffle,
       while a grouped table would be joined where its grouping left it; the
-      second join column, a function of the key, makes Spark shuffle it.
+      second join column, a function of the key, makes Spark shuffle it. The
+      session is told to split also where that costs a later shuffle.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
     right = table if unique else first_by_key(table, list(pairs.values()))
@@ -103,13 +134,19 @@ def lookup(
     if measured and fits_broadcast(table, limit):
         right = F.broadcast(right)
     elif measured:
+        hot = hot_keys(df, pairs).withColumnsRenamed({key: f"_hot_{key}" for key in pairs})
         others = all_quoted(name for name in df.columns if name not in pairs)
-        salt = F.pmod(F.xxhash64(*others), F.lit(salts)) if others else F.lit(0).cast("bigint")
-        left = df.withColumn("_salt", salt)
-        copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        right = right.withColumn("_copy", F.explode(copies)).hint("merge")
+        # Equal rows are told apart by their task, which a retry doesn't change.
+        spread = F.xxhash64(F.spark_partition_id(), *others)
+        left = _with_places(df, hot, {key: f"_hot_{key}" for key in pairs}).withColumn(
+            "_salt", F.pmod(spread, F.col("_places"))
+        )
+        right = _with_places(right, hot, {staged[pairs[key]]: f"_hot_{key}" for key in pairs})
+        copies = F.sequence(F.lit(0).cast("bigint"), F.col("_places") - 1)
+        right = right.withColumn("_copy", F.explode(copies)).drop("_places").hint("merge")
         clauses.append(F.col("_salt") == F.col("_copy"))
     else:
+        df.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         left = df.withColumn("_of_key", F.xxhash64(*all_quoted(pairs)))
         right = right.withColumn("_of_found", F.xxhash64(*staged.values()))
         clauses.append(F.col("_of_key") == F.col("_of_found"))

@@ -172,20 +172,18 @@ def zero_null_keys(df: DataFrame, keys: Iterable[str], columns: Sequence[str]) -
 
 
 def coarse_totals(
-    df: DataFrame, keys: Sequence[str], as_of: date, columns: Mapping[str, str], months: int = 12
+    matrix: DataFrame, keys: Sequence[str], columns: Mapping[str, str]
 ) -> DataFrame:
-    """Rolling sums at a coarser grain, one row per distinct `keys`.
+    """Columns of a finished matrix added up at a coarser grain, one row per `keys`.
 
-    Reads the facts of those months again (the keys, the measures, a pruned
-    date range) rather than the finished matrix, whose rows would have to move
-    by the coarse key, a whole best-seller into one task.
+    The matrix has far fewer rows than the sales it was made of, and its rows are
+    combined before they move. Give it as stored (see `written`), since whatever
+    the totals are joined to reads it as well, and before null keys are zeroed.
     """
-    first, last = months_before(as_of, months), months_before(as_of, 1)
-    window = df.filter(period_key().between(first, last))
-    return window.groupBy(*all_quoted(keys)).agg(
+    return matrix.groupBy(*all_quoted(keys)).agg(
         *(
-            F.expr(f"coalesce(sum({quoted(measure)}), 0)").alias(name)
-            for measure, name in columns.items()
+            F.expr(f"coalesce(sum({quoted(column)}), 0)").alias(name)
+            for column, name in columns.items()
         )
     )
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tallyloom.functions.names import all_quoted
 from tallyloom.functions.text import strip, strip_hyphens
 from tallyloom.operators.checks import union_all
-from tallyloom.operators.cleaning import conform, fill_nulls
+from tallyloom.operators.cleaning import conform, fill_nulls, look_back
 from tallyloom.operators.lookups import lookup
 from tallyloom.operators.matrix import (
     Bucket,
+    check_null_keys,
     coarse_totals,
     money_as_double,
     monthly,
@@ -21,9 +22,12 @@ from tallyloom.operators.matrix import (
     trailing,
     yearly,
     ytd,
+    zero_null_keys,
 )
 from tallyloom.sources.schemas import SALES
+from tallyloom.sources.sinks import written
 
+# The key of the report, and below the order of its columns.
 KEYS = ["ISBN", "TITLE", "NAMECUST", "SALES_CATEGORY"]
 
 
@@ -81,18 +85,28 @@ def report_combined(
 ) -> DataFrame:
     """Units and dollars of both channels, one row per `KEYS`.
 
+    Only sales of the look-back window count, whatever the relations hold.
     `rollup` holds the rolling 12 months of all accounts per product; without
-    it they are added up from the two channels.
+    it they are added up from the finished matrix, which is stored for that, so
+    that the sales are read once.
     """
-    facts = facts_of(sales_a, sales_s)
+    check_null_keys(null_keys)
+    facts = look_back(facts_of(sales_a, sales_s), as_of)
     periods = buckets(as_of)
-    matrix = period_matrix(facts, KEYS, periods, as_of, null_keys=null_keys)
+    report = period_matrix(facts, KEYS, periods, as_of)
     if rollup is None:
-        columns = {"NETUNITS": "ALL_ACCTS_12M_UNITS", "NETAMT": "ALL_ACCTS_12M_DOLLARS"}
-        everyone = coarse_totals(facts, ["ISBN"], as_of, columns)
-        report = lookup(matrix, everyone, ["ISBN"], unique=True, measured=False)
+        report = written(report, "combined-matrix")
+        everyone = coarse_totals(
+            report,
+            ["ISBN"],
+            {"12M_UNITS": "ALL_ACCTS_12M_UNITS", "12M_DOLLARS": "ALL_ACCTS_12M_DOLLARS"},
+        )
+    if null_keys == "zero":
+        report = zero_null_keys(report, KEYS, [bucket.name for bucket in periods])
+    if rollup is None:
+        report = lookup(report, everyone, ["ISBN"], unique=True, measured=False)
     else:
-        report = lookup(matrix, rollup_columns(rollup), ["ISBN"])
+        report = lookup(report, rollup_columns(rollup), ["ISBN"])
     report = lookup(report, product_columns(products), ["ISBN"])
     report = fill_nulls(
         report,

@@ -24,6 +24,7 @@ from tallyloom.operators.matrix import (
     zero_null_keys,
 )
 from tallyloom.sources.schemas import CATEGORY_MAP_A, PRODUCTS, STORED_SALES
+from tallyloom.sources.sinks import written
 
 KEYS = ["ISBN", "TITLE", "NAMECUST", "HQ Account Number", "SL Account Number", "IPS Sale"]
 FACT = T.StructType([f for f in STORED_SALES.fields if f.name != "SL Class of Trade"])
@@ -67,20 +68,21 @@ def report_distributor(
     """Units and dollars per product, customer, account pair and sale type.
 
     The category follows from the account pair, which is part of the key, so
-    it is looked up once per finished row instead of once per sale.
+    it is looked up once per finished row instead of once per sale. The matrix
+    is stored, since its totals by title are joined back to it.
     """
     check_null_keys(null_keys)
     facts = look_back(conform(sales_a, FACT), as_of)
     periods = buckets(as_of)
-    report = add_category(period_matrix(facts, KEYS, periods, as_of), categories)
+    matrix = written(period_matrix(facts, KEYS, periods, as_of), "distributor-matrix")
+    report = add_category(matrix, categories)
     if null_keys == "zero":
         names = [bucket.name for bucket in periods]
         report = zero_null_keys(report, [*KEYS, "SALES_CATEGORY"], names)
     everyone = coarse_totals(
-        facts,
+        matrix,
         ["ISBN", "TITLE"],
-        as_of,
-        {"NETUNITS": "ALL_ACCTS_12M_UNITS", "NETAMT": "ALL_ACCTS_12M_DOLLARS"},
+        {"12M_UNITS": "ALL_ACCTS_12M_UNITS", "12M_DOLLARS": "ALL_ACCTS_12M_DOLLARS"},
     )
     report = lookup(
         report,

@@ -60,14 +60,21 @@ def clean_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> Da
 
 
 def group_rows(rows: DataFrame) -> DataFrame:
-    """One row per key; rows with any part of the key missing are left out."""
+    """One row per key; rows with any part of the key missing are left out.
+
+    The class is a text, whose minimum can't be hash-aggregated. Sums by key and
+    class are, and the minimum is taken over their rows.
+    """
+    of_class = "SL Class of Trade"
     return (
         rows.dropna(subset=KEYS)
+        .groupBy(*all_quoted([*KEYS, of_class]))
+        .agg(F.sum("NETUNITS").alias("NETUNITS"), F.sum("NETAMT").alias("NETAMT"))
         .groupBy(*all_quoted(KEYS))
         .agg(
             F.sum("NETUNITS").alias("NETUNITS"),
             F.sum("NETAMT").cast(MONEY).alias("NETAMT"),
-            F.min("SL Class of Trade").alias("SL Class of Trade"),
+            F.min(of_class).alias(of_class),
         )
         .select(*all_quoted(STORED_SALES.names))
     )

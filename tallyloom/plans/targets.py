@@ -11,7 +11,7 @@ from tallyloom.functions.names import all_quoted, quoted
 from tallyloom.functions.numbers import or_zero, percent, whole
 from tallyloom.functions.text import strip, strip_name_mark
 from tallyloom.operators.checks import union_all
-from tallyloom.operators.cleaning import conform, whole_numbers
+from tallyloom.operators.cleaning import conform, look_back, whole_numbers
 from tallyloom.operators.lookups import lookup
 from tallyloom.operators.matrix import (
     Bucket,
@@ -94,8 +94,9 @@ def by_customer(
     """Actual and target sums per customer and category, before any derived column."""
     actual, scaled = actual_buckets(as_of), target_buckets(as_of)
     account_keys = ["CHANNEL", "ACCOUNT", "NAMECUST", "SALES_CATEGORY"]
+    facts = look_back(facts_of(sales_a, sales_s), as_of)
     accounts = period_matrix(
-        facts_of(sales_a, sales_s), account_keys, [*actual, *scaled], as_of, null_keys=null_keys
+        facts, account_keys, [*actual, *scaled], as_of, null_keys=null_keys
     )
     target_column = f"{target_year}_Target"
     accounts = scale_targets(

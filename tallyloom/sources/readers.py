@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,17 +30,54 @@ def read_file(spark: SparkSession, path: str, schema: T.StructType, **options: s
     return spark.read.schema(schema).options(**settings).csv(path)
 
 
+def read_by_name(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    optional: Collection[str] = (),
+    **options: str,
+) -> DataFrame:
+    """A delimited file whose header may name the columns in any order.
+
+    Columns that `schema` doesn't have are left out. A column of `optional` that
+    the file lacks is null; any other missing column fails the read. Values are
+    read as text, so that product keys keep their zeros, and cast to the schema.
+    """
+    raw = _with_header(spark, path, options)
+    return raw.select(*_named(raw, path, schema, optional))
+
+
+def _with_header(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
+    return spark.read.options(**{"header": "true", "mode": "FAILFAST", **options}).csv(path)
+
+
+def _named(
+    raw: DataFrame, path: str, schema: T.StructType, optional: Collection[str] = ()
+) -> list[Column]:
+    absent = [name for name in schema.names if name not in raw.columns]
+    if needed := sorted(set(absent) - set(optional)):
+        raise ValueError(f"{path} has no column {', '.join(needed)}")
+    return [
+        (F.lit(None) if f.name in absent else F.col(quoted(f.name)))
+        .cast(f.dataType)
+        .alias(f.name)
+        for f in schema.fields
+    ]
+
+
 def read_block(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """A reference map: the rows above the first blank in the first column.
 
-    Meant for one file, like the sheet it was exported from. A row's place is
-    the offset of its split plus a running number inside it, so the cut holds
-    however the file is split.
+    Each file is a sheet of its own and is cut by itself, at its own first blank. A
+    row's place is the offset of its split plus a running number inside it, so the
+    cut holds however a file is split. Columns go by the names in the header.
     """
     if any(not isinstance(field.dataType, T.StringType) for field in schema.fields):
         raise ValueError("a reference map has string columns only")
-    placed = read_file(spark, path, schema, **options).select(
-        *all_quoted(schema.names),
+    raw = _with_header(spark, path, options)
+    placed = raw.select(
+        *_named(raw, path, schema),
+        F.col("_metadata.file_path").alias("_file"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
@@ -48,23 +85,18 @@ def read_block(spark: SparkSession, path: str, schema: T.StructType, **options:
     )
     first = F.col(quoted(schema.names[0]))
     blank = F.coalesce(strip(first), F.lit("")) == ""
-    end = placed.filter(blank).agg(F.min("_place").alias("_end")).scalar()
-    return placed.filter(end.isNull() | (F.col("_place") < end)).drop("_place")
+    ends = placed.filter(blank).groupBy("_file").agg(F.min("_place").alias("_end"))
+    above = F.col("_end").isNull() | (F.col("_place") < F.col("_end"))
+    return placed.join(ends, "_file", "left").filter(above).select(*all_quoted(schema.names))
 
 
-def jdbc_options(
-    url: str, table: str, first_year: int, last_year: int, properties: Mapping[str, str]
-) -> dict[str, str]:
-    """Options that read a table with one connection per year."""
-    return {
-        **properties,
-        "url": url,
-        "dbtable": table,
-        "partitionColumn": "YEAR",
-        "lowerBound": str(first_year),
-        "upperBound": str(last_year + 1),
-        "numPartitions": str(last_year - first_year + 1),
-    }
+def jdbc_predicates(first_year: int, last_year: int) -> list[str]:
+    """A condition for each month: as many connections, none with a year to itself."""
+    return [
+        f"YEAR = {year} AND MONTH = {month}"
+        for year in range(first_year, last_year + 1)
+        for month in range(1, 13)
+    ]
 
 
 def read_jdbc(
@@ -73,11 +105,11 @@ def read_jdbc(
     table: str,
     first_year: int,
     last_year: int,
-    **properties: str,
+    properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A database table with a YEAR column; filters and columns are pushed down."""
-    options = jdbc_options(url, table, first_year, last_year, properties)
-    return spark.read.format("jdbc").options(**options).load()
+    """A database table with YEAR and MONTH; filters and columns are pushed down."""
+    months = jdbc_predicates(first_year, last_year)
+    return spark.read.jdbc(url, table, predicates=months, properties=dict(properties or {}))
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

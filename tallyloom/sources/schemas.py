@@ -73,9 +73,17 @@ CATEGORY_MAP_A = _struct(
 CATEGORY_MAP_S = _struct(**{"BILLTO": _S, "MASTER SALES CATEGORY": _S})
 NAME_MAP = _struct(SOURCE_NAME=_S, TARGET_NAME=_S)
 
-TARGETS = _struct(
-    **{"BILLTO": _S, "COMPANY": _S, "2024": _D, "2025": _D, "MUL_RATIO": _D, "Dupe?": _S}
-)
+
+def targets_schema(target_year: int) -> T.StructType:
+    """The target file: the year of the targets and the one before it."""
+    years = {str(year): _D for year in (target_year - 1, target_year)}
+    return _struct(**{"BILLTO": _S, "COMPANY": _S, **years, "MUL_RATIO": _D, "Dupe?": _S})
+
+
+# Columns of the target file that nothing is computed from.
+def targets_optional(target_year: int) -> tuple[str, ...]:
+    return ("COMPANY", str(target_year - 1), "Dupe?")
+
 
 # Raw files of the distributor.
 RAW_SALES = _struct(

@@ -22,30 +22,33 @@ SESSION_CONF = {
 
 # A shuffle partition of this size is sorted and aggregated in memory.
 PARTITION_BYTES = 512 * 1024 * 1024
-MOST_PARTITIONS = 32_768
 
 
 def partitions_for(shuffle_bytes: int) -> int:
-    """Shuffle partitions for an expected shuffle, from 200 to `MOST_PARTITIONS`."""
-    return max(200, min(MOST_PARTITIONS, -(-shuffle_bytes // PARTITION_BYTES)))
+    """Shuffle partitions for an expected shuffle, at least 200."""
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
 
 
 def build_session(
     app: str = "tallyloom",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    shuffle_bytes: int | None = None,
     **conf: str,
 ) -> SparkSession:
     """A session with the settings the reports are tuned for.
 
     `master` is for local runs; on a cluster it comes from the submit command.
-    `shuffle_partitions` is the count a shuffle starts with, see
-    `partitions_for`; the runtime merges what turns out too small.
+    `shuffle_partitions` is the count a shuffle starts with, or follows from the
+    bytes of the largest shuffle expected; the runtime merges what turns out too
+    small.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(SESSION_CONF)
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(partitions_for(shuffle_bytes))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf)

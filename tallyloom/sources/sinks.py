@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.names import all_quoted
 from tallyloom.sources.schemas import STORED_SALES
+from tallyloom.sources.session import shared_folder
 
 # Column that tells loads apart; also the outermost directory of the fact.
 LOAD = "LOAD"
@@ -30,6 +31,21 @@ def replace_if_any(df: DataFrame, path: str) -> bool:
     return True
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows, cut from their lineage by a write to the shared folder.
+
+    Later stages read files that every executor sees, so a lost executor costs its
+    own tasks only, and a plan that is used twice runs once. The files go when the
+    driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _by_month(df: DataFrame) -> DataFrame:
     """Gather each month's rows into few files of even size.
 

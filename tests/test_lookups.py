@@ -18,7 +18,7 @@ def pair(spark):
     return sales, table
 
 
-EXPECTED = {("a", 1, "x", 1), ("a", 2, "x", 1), ("b", 3, None, 3), ("z", 4, None, None)}
+EXPECTED = {("a", 1, "x", 1), ("a", 2, "x", 1), ("b", 3, "y", 1), ("z", 4, None, None)}
 
 
 @pytest.mark.parametrize("options", [{}, {"limit": 0}, {"measured": False}])
@@ -31,10 +31,10 @@ def test_all_strategies_agree_and_add_no_rows(pair, options):
     assert {tuple(r) for r in safe} == EXPECTED | {(None, 5, "n", 0)}
 
 
-def test_first_by_key_takes_smallest_nulls_first(pair):
+def test_first_by_key_takes_the_fullest_then_smallest(pair):
     _, table = pair
     rows = {tuple(r) for r in lookups.first_by_key(table, ["KEY"]).collect()}
-    assert rows == {("a", "x", 1), ("b", None, 3), (None, "n", 0)}
+    assert rows == {("a", "x", 1), ("b", "y", 1), (None, "n", 0)}
     assert lookups.first_by_key(table.select("KEY"), ["KEY"]).count() == 3
 
 
@@ -76,6 +76,26 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert share[0] < 6_000
 
 
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    """Rows that differ in nothing still go to all the places their key has."""
+    rows = spark.range(200_000, numPartitions=64).select(
+        F.lit("hot").alias("EAN"), F.lit(None).cast("string").alias("Title")
+    )
+    titles = spark.createDataFrame([("hot", "T"), ("cold", "U")], "Z string, L string")
+    hot = lookups.hot_keys(rows, ["EAN"]).first()
+    assert hot["_places"] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookups.lookup(rows, titles, {"EAN": "Z"}, limit=0)
+        assert joined.filter("L = 'T'").count() == 200_000
+        salted = joined.groupBy(F.spark_partition_id().alias("P")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(salted) >= 4 and max(r["count"] for r in salted) < 120_000
+
+
 def test_runtime_splits_a_hot_key_of_an_unmeasured_table(spark):
     sales = spark.range(200_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("K"),

@@ -116,8 +116,9 @@ def test_coarse_totals_count_only_the_window(facts):
     df = facts(
         ("1", "t", "a", "c", 200107, 1, 1),
         ("1", "t", "b", "c", 200008, 2, 2),
+        ("1", "t", "b", None, 200008, 16, 2),
         ("1", "t", "b", "c", 200007, 4, 4),
         ("1", "t", "b", "c", 200108, 8, 8),
     )
-    total = matrix.coarse_totals(df, ["ISBN"], AS_OF, {"NETUNITS": "U"}).first()
-    assert total["U"] == 3
+    rows = matrix.period_matrix(df, KEYS, matrix.trailing(AS_OF, 12, {"NETUNITS": "U"}), AS_OF)
+    assert matrix.coarse_totals(rows, ["ISBN"], {"U": "ALL"}).first()["ALL"] == 19

@@ -6,8 +6,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.comparison import connect, differences
+from workload.catalog import QUERIES
+from workload.oracle import ORACLE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,9 +19,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, con, name):
-    assert not differences(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
+    assert not differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name])

@@ -88,7 +88,7 @@ def test_block_ends_at_first_blank(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     with pytest.raises(ValueError):
-        readers.read_block(spark, str(path), schemas.TARGETS)
+        readers.read_block(spark, str(path), schemas.targets_schema(2025))
 
 
 def test_wrong_header_fails(spark, tmp_path):
@@ -100,10 +100,35 @@ def test_wrong_header_fails(spark, tmp_path):
     assert tuple(readers.read_file(spark, str(path), schemas.RAW_BACKORDERS).first()) == ("007", "t", 3)
 
 
-def test_jdbc_reads_a_connection_per_year():
-    options = readers.jdbc_options("jdbc:x", "sales", 1998, 2001, {"fetchsize": "1000"})
-    assert options["partitionColumn"] == "YEAR" and options["numPartitions"] == "4"
-    assert (options["lowerBound"], options["upperBound"]) == ("1998", "2002")
+def test_jdbc_reads_a_connection_per_month():
+    months = readers.jdbc_predicates(1998, 2001)
+    assert len(months) == 48 and months[0] == "YEAR = 1998 AND MONTH = 1"
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "backorders.csv"
+    path.write_text("Note,Open Backorder,EAN,Title\nx,3,007,t\n")
+    read = readers.read_by_name(spark, str(path), schemas.RAW_BACKORDERS)
+    assert [tuple(r) for r in read.collect()] == [("007", "t", 3)]
+    path.write_text("Open Backorder,EAN\n3,007\n")
+    with pytest.raises(ValueError, match="Title"):
+        readers.read_by_name(spark, str(path), schemas.RAW_BACKORDERS)
+    read = readers.read_by_name(spark, str(path), schemas.RAW_BACKORDERS, optional=["Title"])
+    assert [tuple(r) for r in read.collect()] == [("007", None, 3)]
+
+
+def test_target_columns_follow_the_year():
+    assert "2027" in schemas.targets_schema(2027).names
+    assert "2026" in schemas.targets_optional(2027)
+
+
+@pytest.mark.parametrize("padding", [0, 50])
+def test_each_file_is_cut_by_itself(spark, tmp_path, padding):
+    head = "SOURCE_NAME,TARGET_NAME\n"
+    (tmp_path / "1.csv").write_text(head + "a,A\n,\nb,B\n")
+    (tmp_path / "2.csv").write_text(head + f"d,{'D' * (1 + padding)}\ne,E\n")
+    read = readers.read_block(spark, str(tmp_path), schemas.NAME_MAP)
+    assert {r["SOURCE_NAME"] for r in read.collect()} == {"a", "d", "e"}
 
 
 def test_shared_folder_is_taken_from_the_session(spark):

@@ -102,9 +102,11 @@ def period_matrix_null_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coarse_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = rel.both_channels(spark, sf_dir)
     own = {UNITS: "12M_UNITS", DOLLARS: "12M_DOLLARS"}
-    report = matrix.period_matrix(facts, combined.KEYS, matrix.trailing(AS_OF, 12, own), AS_OF)
-    columns = {UNITS: "ALL_ACCTS_12M_UNITS", DOLLARS: "ALL_ACCTS_12M_DOLLARS"}
-    everyone = matrix.coarse_totals(facts, ["ISBN", "TITLE"], AS_OF, columns)
+    report = sinks.written(
+        matrix.period_matrix(facts, combined.KEYS, matrix.trailing(AS_OF, 12, own), AS_OF), "matrix"
+    )
+    columns = {"12M_UNITS": "ALL_ACCTS_12M_UNITS", "12M_DOLLARS": "ALL_ACCTS_12M_DOLLARS"}
+    everyone = matrix.coarse_totals(report, ["ISBN", "TITLE"], columns)
     joined = lookups.lookup(
         report, everyone, ["ISBN", "TITLE"], unique=True, measured=False, null_safe=True
     )
@@ -163,7 +165,7 @@ def product_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = matrix.period_matrix(
         facts, ["ISBN"], matrix.trailing(AS_OF, 12, {UNITS: "12M_UNITS"}), AS_OF
     )
-    products = combined.product_columns(rel.products(spark, sf_dir)).drop("PUB_STATUS", "RETAIL")
+    products = combined.product_columns(rel.products(spark, sf_dir))
     return cleaning.fill_nulls(
         lookups.lookup(sums, products, ["ISBN"]),
         empty=["TYPE", "PROD", "SUB", "SEAS", "WEBCAT2", "WEBCAT2_DESCR"],
@@ -252,12 +254,11 @@ def capture_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twenty largest by rolling 12 months, a top-k report."""
+    """All customers, the largest rolling 12 months first."""
     return (
         _customers(spark, sf_dir)
         .select("NAMECUST", "SALES_CATEGORY", "12M_ROLLING_ACTUAL")
         .orderBy(F.col("12M_ROLLING_ACTUAL").desc(), "NAMECUST", "SALES_CATEGORY")
-        .limit(20)
     )
 
 
@@ -280,22 +281,130 @@ def ingest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.money_as_double(rows)
 
 
+def _as_text(spark: SparkSession, df: DataFrame, purpose: str) -> str:
+    """Delimited files with a header; white space stays. Returns their folder."""
+    path = shared_folder(spark, purpose)
+    (
+        df.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
+
+
 def ingest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same ingest from delimited text, as the distributor delivers it."""
     names = schemas.RAW_SALES.names
     raw = rel.raw_sales(spark, sf_dir)
     missing = {name: F.lit(None).cast("string") for name in names if name not in raw.columns}
-    path = shared_folder(spark, "raw")
+    whole = raw.withColumns(missing).select(*(F.col(f"`{name}`") for name in names))
+    read = readers.read_file(spark, _as_text(spark, whole, "raw"), schemas.RAW_SALES)
+    return matrix.money_as_double(tl.ingest_month(read, rel.raw_titles(spark, sf_dir)))
+
+
+def _other_order(df: DataFrame) -> DataFrame:
+    """Columns in reverse, and one that nobody asked for."""
+    return df.select(F.lit("-").alias("Remark"), *(F.col(f"`{n}`") for n in reversed(df.columns)))
+
+
+def ingest_file_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another column order, an unknown column, and most unused columns absent."""
+    path = _as_text(spark, _other_order(rel.raw_sales(spark, sf_dir)), "raw")
+    read = readers.read_by_name(spark, path, schemas.RAW_SALES, optional=ingest.DROPPED)
+    return matrix.money_as_double(tl.ingest_month(read, rel.raw_titles(spark, sf_dir)))
+
+
+def history_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history file read by name, repaired, stored as the whole fact and read back."""
+    raw = rel.raw_sales(spark, sf_dir, spoilt_keys=True)
+    path, fact = _as_text(spark, _other_order(raw), "history"), shared_folder(spark, "fact")
+    read = readers.read_by_name(spark, path, schemas.RAW_SALES, optional=ingest.DROPPED)
+    sinks.replace_history(tl.reload_history(read, rel.raw_titles(spark, sf_dir)), fact)
+    return matrix.money_as_double(sinks.read_loads(spark, fact))
+
+
+def backorder_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distributor's backorders from a file; the report is stored and read back."""
+    path = _as_text(spark, _other_order(rel.raw_backorders_a(spark, sf_dir)), "backorders")
+    read = readers.read_by_name(spark, path, schemas.RAW_BACKORDERS)
+    return _stored(spark, tl.combine_backorders(read, rel.backorders_s(spark, sf_dir)))
+
+
+def target_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets of the target year from a file without the columns nobody uses."""
+    path = _as_text(spark, _other_order(rel.targets(spark, sf_dir).drop("COMPANY")), "targets")
+    read = readers.read_by_name(
+        spark,
+        path,
+        schemas.targets_schema(TARGET_YEAR),
+        optional=schemas.targets_optional(TARGET_YEAR),
+    )
+    return matrix.money_as_double(target_ops.usable_targets(read, TARGET_YEAR))
+
+
+def _stored(spark: SparkSession, report: DataFrame) -> DataFrame:
+    """A report as it is read back from where it was stored."""
+    path = sinks.replace_table(report, shared_folder(spark, "report"))
+    return readers.read_table(spark, path, report.schema)
+
+
+def _sheets(spark: SparkSession, table: DataFrame, key: str) -> str:
+    """A reference map in four files, each with a blank row and notes behind it."""
+    first, *others = table.columns
+    sheet = F.pmod(F.xxhash64(key), F.lit(4)).cast("int")
+    notes = spark.range(12).select(
+        F.when(F.col("id") % 3 > 0, "note").alias(first),
+        *(F.lit("x").alias(name) for name in others),
+        F.floor(F.col("id") / 3).cast("int").alias("_sheet"),
+        (1 + F.col("id") % 3).cast("int").alias("_at"),
+    )
+    rows = table.withColumns({"_sheet": sheet, "_at": F.lit(0)}).unionByName(notes)
+    path = shared_folder(spark, "map-file")
     (
-        raw.withColumns(missing)
-        .select(*(F.col(f"`{name}`") for name in names))
+        rows.repartition("_sheet")
+        .sortWithinPartitions("_sheet", "_at")
+        .drop("_at")
         .write.option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        .partitionBy("_sheet")
         .csv(path)
     )
-    read = readers.read_file(spark, path, schemas.RAW_SALES)
-    return matrix.money_as_double(tl.ingest_month(read, rel.raw_titles(spark, sf_dir)))
+    return path
+
+
+def name_map_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _sheets(spark, rel.name_map(spark, sf_dir), "SOURCE_NAME")
+    return readers.read_block(spark, path, schemas.NAME_MAP)
+
+
+def ingest_past_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest with a title table that also has every key without a title."""
+    titles_twice = rel.with_null_rows(rel.raw_titles(spark, sf_dir), ["Z_ID"])
+    return matrix.money_as_double(tl.ingest_month(rel.raw_sales(spark, sf_dir), titles_twice))
+
+
+def dimensions_past_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category, place, name, product and target, each key of which also has a row of nulls."""
+    facts = rel.stored_sales_a(spark, sf_dir, None).select(
+        "ISBN", "NAMECUST", "SL Account Number", "HQ Account Number", UNITS
+    )
+    pair = ["SL Account Number", "HQ Account Number"]
+    rows = distributor.add_category(
+        facts, rel.with_null_rows(rel.category_map_a(spark, sf_dir), pair)
+    )
+    rows = targets.add_city_state(
+        rows, rel.with_null_rows(rel.locations(spark, sf_dir), ["NAMECUST"]), "NAMECUST"
+    )
+    rows = lookups.map_names(rows, rel.with_null_rows(rel.name_map(spark, sf_dir), ["SOURCE_NAME"]))
+    products = rel.with_null_rows(rel.products(spark, sf_dir), ["ISBN"])
+    rows = lookups.lookup(rows, products.select("ISBN", "PROD_TYPE"), ["ISBN"])
+    plan = rel.with_null_rows(rel.targets(spark, sf_dir), ["BILLTO"])
+    rows = lookups.lookup(
+        rows, plan.select("BILLTO", "COMPANY"), {"SL Account Number": "BILLTO"}
+    )
+    return rows.groupBy("SALES_CATEGORY", "NAMECUST", "CITY", "STATE", "PROD_TYPE", "COMPANY").agg(
+        F.sum(UNITS).alias(UNITS)
+    )
 
 
 def reload_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +421,7 @@ def ingest_rerun_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history load, then the same monthly load twice; totals per month."""
     path = shared_folder(spark, "fact")
     stored = rel.stored_sales_a(spark, sf_dir, None).select(*schemas.STORED_SALES.names)
-    sinks.replace_history(cleaning.look_back(stored, AS_OF), path)
+    sinks.replace_history(stored, path)
     month = tl.ingest_month(rel.raw_sales(spark, sf_dir), rel.raw_titles(spark, sf_dir))
     for _ in range(2):
         sinks.write_load(month, path, "2001-07")
@@ -366,13 +475,25 @@ def sign_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.money_as_double(profile)
 
 
-def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five returns, the sample that goes with the sign profile."""
-    grouped = rel.both_channels(spark, sf_dir).groupBy("ISBN", "YEAR", "MONTH", "NAMECUST").agg(
-        F.sum(UNITS).alias(UNITS)
+SAMPLE_KEYS = ["ISBN", "YEAR", "MONTH", "NAMECUST"]
+
+
+def _grouped_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rel.both_channels(spark, sf_dir).groupBy(*SAMPLE_KEYS).agg(
+        F.sum(UNITS).alias(UNITS), F.sum(DOLLARS).alias(DOLLARS)
     )
-    order = ["ISBN", "YEAR", "MONTH", "NAMECUST"]
-    return checks.sample_rows(grouped, F.col(UNITS) < 0, order)
+
+
+def sign_profile_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sign profile of what grouping makes of the rows."""
+    profile = checks.sign_profile(_grouped_sales(spark, sf_dir), [UNITS, DOLLARS])
+    return matrix.money_as_double(profile)
+
+
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five rows of either sign for units and for dollars, from the grouped rows."""
+    grouped = sinks.written(_grouped_sales(spark, sf_dir), "grouped")
+    return matrix.money_as_double(checks.sign_samples(grouped, [UNITS, DOLLARS], SAMPLE_KEYS))
 
 
 def report_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,6 +506,25 @@ def report_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_combined_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the totals of all accounts as the database keeps them."""
+    return tl.report_combined(
+        rel.channel_a(spark, sf_dir),
+        rel.channel_s(spark, sf_dir),
+        rel.rollup(spark, sf_dir),
+        rel.products(spark, sf_dir),
+        AS_OF,
+    )
+
+
+def stored_distributor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, report_distributor(spark, sf_dir))
+
+
+def stored_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, report_titles(spark, sf_dir))
+
+
 def report_distributor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.report_distributor(
         rel.stored_sales_a(spark, sf_dir),
@@ -415,9 +555,9 @@ def report_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reference_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category map written as delimited text, read as a block, stored, read."""
-    path, out = shared_folder(spark, "map-file"), shared_folder(spark, "map")
-    rel.category_map_a(spark, sf_dir).write.option("header", True).csv(path)
+    """The category map from files with blank rows and notes, read by block, stored, read."""
+    path = _sheets(spark, rel.category_map_a(spark, sf_dir), "SL Account Number")
+    out = shared_folder(spark, "map")
     block = readers.read_block(spark, path, schemas.CATEGORY_MAP_A)
     sinks.replace_if_any(block, out)
     return readers.read_table(spark, out, schemas.CATEGORY_MAP_A)
@@ -444,6 +584,41 @@ def channel_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _full_refresh(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Maps read by block from files, stored rollup, without the distributor as customer."""
+    files = {
+        "CATEGORY_MAP_A": (rel.category_map_a, schemas.CATEGORY_MAP_A, "SL Account Number"),
+        "CATEGORY_MAP_S": (rel.category_map_s, schemas.CATEGORY_MAP_S, "BILLTO"),
+        "NAME_MAP": (rel.name_map, schemas.NAME_MAP, "SOURCE_NAME"),
+    }
+    maps = {
+        name: readers.read_block(spark, _sheets(spark, build(spark, sf_dir), key), schema)
+        for name, (build, schema, key) in files.items()
+    }
+    return daily.daily_refresh(
+        spark,
+        rel.stored_sales_a(spark, sf_dir),
+        rel.stored_sales_s(spark, sf_dir),
+        maps,
+        rel.targets(spark, sf_dir),
+        rel.products(spark, sf_dir),
+        rel.locations(spark, sf_dir),
+        shared_folder(spark, "daily"),
+        AS_OF,
+        TARGET_YEAR,
+        rollup=rel.rollup(spark, sf_dir),
+        without="Customer#0000000%",
+    )
+
+
+def daily_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_full_refresh(spark, sf_dir)["COMBINED_SALES_REPORT"])
+
+
+def daily_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_full_refresh(spark, sf_dir)["TARGET_REPORT"])
+
+
 def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and rolling 12 months of both reports, read back as stored."""
     written = daily.daily_refresh(
@@ -510,6 +685,13 @@ QUERIES: dict[str, Query] = {
         backorders,
         ingest_month,
         ingest_file,
+        ingest_file_by_name,
+        ingest_past_nulls,
+        dimensions_past_nulls,
+        history_file,
+        backorder_file,
+        target_file,
+        name_map_file,
         reload_history,
         ingest_checks,
         ingest_rerun_safe,
@@ -519,13 +701,19 @@ QUERIES: dict[str, Query] = {
         null_counts,
         invalid_keys,
         sign_profile,
+        sign_profile_grouped,
         sample_rows,
         report_combined,
+        report_combined_rollup,
         report_distributor,
         report_targets,
         report_titles,
+        stored_distributor,
+        stored_titles,
         reference_map,
         channel_sources,
         daily_refresh,
+        daily_combined,
+        daily_targets,
     )
 }

@@ -287,16 +287,22 @@ def _column_totals() -> str:
     )
 
 
-def _sign_profile() -> str:
+GROUPED = """grouped AS (
+  SELECT "ISBN", "YEAR", "MONTH", "NAMECUST", CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS",
+         sum("NETAMT") AS "NETAMT"
+  FROM sales GROUP BY 1, 2, 3, 4)"""
+
+
+def _sign_profile(source: str = "sales", *parts: str) -> str:
     signs = {"NEGATIVE": "<", "ZERO": "=", "POSITIVE": ">"}
     rows = [
         f"""SELECT '{measure}' AS "MEASURE", '{label}' AS "SIGN", count(*) AS "N_ROWS",
        CAST(coalesce(sum("{measure}"), 0) AS DOUBLE) AS "TOTAL"
-FROM sales WHERE "{measure}" {sign} 0"""
+FROM {source} WHERE "{measure}" {sign} 0"""
         for measure in ("NETUNITS", "NETAMT")
         for label, sign in signs.items()
     ]
-    return _with(SALES, body=_union(rows))
+    return _with(SALES, *parts, body=_union(rows))
 
 
 def _ingest_checks() -> str:
@@ -316,6 +322,14 @@ def _ingest_checks() -> str:
     return _with(SALES, RAW, body=_union(rows))
 
 
+COMBINED_BODY = f"""SELECT "TITLE", "ISBN", "NAMECUST", "SALES_CATEGORY", p_type AS "TYPE",
+       p_brand AS "PROD", p_type AS "WEBCAT2", 'About ' || p_type AS "WEBCAT2_DESCR",
+       coalesce(sub_pub, '') AS "SUB", p_size AS "PUB_STATUS", p_retailprice AS "RETAIL",
+       season AS "SEAS", coalesce("ALL_ACCTS_12M_UNITS", 0) AS "ALL_ACCTS_12M_UNITS",
+       coalesce("ALL_ACCTS_12M_DOLLARS", 0) AS "ALL_ACCTS_12M_DOLLARS",
+       {_quoted(COMBINED_NAMES)}
+FROM m LEFT JOIN everyone USING ("ISBN") LEFT JOIN products USING ("ISBN")"""
+
 MAPPED_NAME = """CASE WHEN c_nationkey = 0 THEN 'Group ' || c_mktsegment ELSE c_name END"""
 
 ORACLE: dict[str, str] = {
@@ -424,7 +438,8 @@ GROUP BY p_name HAVING count(*) > 1""",
         PRODUCTS,
         "m AS (" + _grouped("complete", ["ISBN"], [_units("12M_UNITS", LAST_12)]) + ")",
         body="""SELECT m.*, p_type AS "TYPE", p_brand AS "PROD", p_type AS "WEBCAT2",
-       'About ' || p_type AS "WEBCAT2_DESCR", coalesce(sub_pub, '') AS "SUB", season AS "SEAS"
+       'About ' || p_type AS "WEBCAT2_DESCR", coalesce(sub_pub, '') AS "SUB", season AS "SEAS",
+       p_size AS "PUB_STATUS", p_retailprice AS "RETAIL"
 FROM m LEFT JOIN products USING ("ISBN")""",
     ),
     "normalize_key_regroup": """SELECT '978' || CAST(l_partkey AS VARCHAR) || '0' AS "ISBN",
@@ -473,8 +488,7 @@ GROUP BY "NAMECUST" HAVING count(DISTINCT is_a) = 2""",
     ),
     "top_customers": _with(
         *CUSTOMERS,
-        body="""SELECT "NAMECUST", "SALES_CATEGORY", "12M_ROLLING_ACTUAL" FROM customers
-ORDER BY "12M_ROLLING_ACTUAL" DESC, "NAMECUST", "SALES_CATEGORY" NULLS FIRST LIMIT 20""",
+        body='SELECT "NAMECUST", "SALES_CATEGORY", "12M_ROLLING_ACTUAL" FROM customers',
     ),
     "city_state": """SELECT CASE WHEN c_custkey % 5 = 0 THEN c_name || '*' ELSE c_name END
          AS "NAMECUST", n_name AS "CITY", r_name AS "STATE"
@@ -486,11 +500,10 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
     "ingest_checks": _ingest_checks(),
     "ingest_rerun_safe": _with(
         SALES,
-        WINDOW,
         RAW,
         body="""SELECT "YEAR", "MONTH", CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS",
        CAST(sum("NETAMT") AS DOUBLE) AS "NETAMT"
-FROM (SELECT "YEAR", "MONTH", "NETUNITS", "NETAMT" FROM recent WHERE is_a
+FROM (SELECT "YEAR", "MONTH", "NETUNITS", "NETAMT" FROM sales WHERE is_a
       UNION ALL
       SELECT "YEAR", "MONTH", "NETUNITS", "NETAMT" FROM raw WHERE "YEAR" IS NOT NULL)
 GROUP BY 1, 2""",
@@ -525,12 +538,20 @@ FROM sales WHERE "SALES_CATEGORY" IS NULL GROUP BY 1, 2""",
     "invalid_keys": """SELECT p_brand AS "ISBN", count(*) AS "N_ROWS" FROM part
 WHERE p_size % 2 <> 0 AND length(p_brand) <> 13 GROUP BY 1""",
     "sign_profile": _sign_profile(),
+    "sign_profile_grouped": _sign_profile("grouped", GROUPED),
     "sample_rows": _with(
         SALES,
-        body="""SELECT * FROM (
-  SELECT "ISBN", "YEAR", "MONTH", "NAMECUST", CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS"
-  FROM sales GROUP BY 1, 2, 3, 4)
-WHERE "NETUNITS" < 0 ORDER BY 1, 2, 3, 4 LIMIT 5""",
+        GROUPED,
+        body=_union(
+            [
+                f"""(SELECT '{measure}' AS "MEASURE", '{label}' AS "SIGN",
+       "ISBN", "YEAR", "MONTH", "NAMECUST", "NETUNITS", CAST("NETAMT" AS DOUBLE) AS "NETAMT"
+FROM grouped WHERE "{measure}" {sign} 0
+ORDER BY "ISBN", "YEAR", "MONTH", "NAMECUST" LIMIT 5)"""
+                for measure in ("NETUNITS", "NETAMT")
+                for label, sign in (("NEGATIVE", "<"), ("POSITIVE", ">"))
+            ]
+        ),
     ),
     "report_combined": _with(
         SALES,
@@ -538,12 +559,7 @@ WHERE "NETUNITS" < 0 ORDER BY 1, 2, 3, 4 LIMIT 5""",
         PRODUCTS,
         _everyone("recent", ["ISBN"]),
         f"m AS ({_grouped('recent', G4, COMBINED)})",
-        body=f"""SELECT "TITLE", "ISBN", "NAMECUST", "SALES_CATEGORY", p_type AS "TYPE",
-       p_brand AS "PROD", p_type AS "WEBCAT2", 'About ' || p_type AS "WEBCAT2_DESCR",
-       coalesce(sub_pub, '') AS "SUB", p_size AS "PUB_STATUS", p_retailprice AS "RETAIL",
-       season AS "SEAS", "ALL_ACCTS_12M_UNITS", "ALL_ACCTS_12M_DOLLARS",
-       {_quoted(COMBINED_NAMES)}
-FROM m LEFT JOIN everyone USING ("ISBN") LEFT JOIN products USING ("ISBN")""",
+        body=COMBINED_BODY,
     ),
     "report_distributor": _with(
         SALES,
@@ -617,3 +633,58 @@ SELECT 'TARGET_REPORT', count(DISTINCT ("NAMECUST", "SALES_CATEGORY")),
 FROM named""",
     ),
 }
+
+# Both channels as the full refresh sees them: mapped names, one customer left out.
+NAMED = f"""
+named AS (
+  SELECT * REPLACE (CASE WHEN is_a THEN {MAPPED_NAME} ELSE c_name END AS "NAMECUST")
+  FROM (SELECT recent.*, c_mktsegment, c_name FROM recent
+        JOIN customer ON recent.c_custkey = customer.c_custkey)
+  WHERE is_a OR c_name NOT LIKE 'Customer#0000000%')"""
+
+ORACLE |= {
+    "ingest_file_by_name": ORACLE["ingest_month"],
+    "ingest_past_nulls": ORACLE["ingest_month"],
+    "history_file": ORACLE["ingest_month"],
+    "backorder_file": ORACLE["backorders"],
+    "stored_distributor": ORACLE["report_distributor"],
+    "stored_titles": ORACLE["report_titles"],
+    "report_combined_rollup": ORACLE["report_combined"],
+    "target_file": _with(
+        TARGETS,
+        body="""SELECT account AS "ACCOUNT", CAST(ratio AS DOUBLE) AS "RATIO",
+       CAST(target AS DOUBLE) AS "TARGET" FROM targets""",
+    ),
+    "name_map_file": """SELECT c_name AS "SOURCE_NAME", 'Group ' || c_mktsegment AS "TARGET_NAME"
+FROM customer WHERE c_nationkey = 0""",
+    "dimensions_past_nulls": _with(
+        SALES,
+        body=f"""SELECT "SALES_CATEGORY", {MAPPED_NAME} AS "NAMECUST", n_name AS "CITY",
+       r_name AS "STATE", p_type AS "PROD_TYPE", c_name AS "COMPANY",
+       CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS"
+FROM (SELECT sales.*, c_mktsegment, c_name, n_name, r_name, p_type FROM sales
+      JOIN customer ON sales.c_custkey = customer.c_custkey
+      JOIN nation ON customer.c_nationkey = n_nationkey
+      JOIN region ON n_regionkey = r_regionkey
+      JOIN part ON l_partkey = p_partkey)
+WHERE is_a GROUP BY 1, 2, 3, 4, 5, 6""",
+    ),
+    "daily_combined": _with(
+        SALES,
+        WINDOW,
+        NAMED,
+        PRODUCTS,
+        _everyone("recent", ["ISBN"]),
+        f"m AS ({_grouped('named', G4, COMBINED)})",
+        body=COMBINED_BODY,
+    ),
+    "daily_targets": _with(
+        SALES,
+        WINDOW,
+        NAMED,
+        TARGETS,
+        SCALED.format(source="named"),
+        *CUSTOMERS[4:],
+        body=TARGET_REPORT.replace("FROM recent r", "FROM named r"),
+    ),
+}

@@ -308,3 +308,30 @@ def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = once.withColumn("LONG_TITLE", F.concat("LONG_TITLE", F.lit(" (2nd)")))
     return once.unionByName(again)
+
+
+def with_null_rows(table: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key once more, with nulls in all other columns."""
+    nulls = table.select(
+        *(
+            F.col(f"`{f.name}`") if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.schema.fields
+        )
+    )
+    return table.unionByName(nulls)
+
+
+def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling 12 months of all accounts per product, as the database keeps it."""
+    first, after = date(AS_OF.year - 1, AS_OF.month, 1), AS_OF.replace(day=1)
+    day = F.col("o_orderdate")
+    return (
+        sales(spark, sf_dir)
+        .filter((day >= F.lit(first).cast("timestamp_ntz")) & (day < F.lit(after).cast("timestamp_ntz")))
+        .select(*_fact_columns())
+        .groupBy(F.col("ISBN").alias("ITEMNO"))
+        .agg(
+            F.sum("NETUNITS").alias("NETQTY"),
+            F.sum("NETAMT").cast("double").alias("NETSALES"),
+        )
+    )
