@@ -186,6 +186,7 @@ class Scanner:
         best: dict[str, tuple[float, int, int, int]] = {}
         for name, template, wanted, needed, rarest in self.templates:
             size = len(template)
+            short = size <= SHORT_WORDS
             if not all(w in counts for w in needed):
                 continue
             # no alignment can cover more than the words at hand
@@ -197,17 +198,38 @@ class Scanner:
                 coverage = len(pairs) / size
                 if coverage < self.least or not needed <= covered:
                     continue
-                found = (coverage, len(pairs), low + pairs[0][0], low + pairs[-1][0])
+                first, last = low + pairs[0][0], low + pairs[-1][0]
+                if short and last - first + 1 > size / self.least:
+                    continue
+                found = (coverage, len(pairs), first, last)
                 if found[:2] > best.get(name, (0.0, 0, 0, 0))[:2]:
                     best[name] = found
-        return best
+        # a notice within a longer one that matches more words is part of that one
+        return {
+            name: found
+            for name, found in best.items()
+            if not any(
+                other[1] > found[1] and other[2] <= found[2] and found[3] <= other[3]
+                for other in best.values()
+            )
+        }
 
     def _regions(self, words: list[str], template: list[str], rarest: str) -> list[tuple[int, int]]:
-        """Stretches around each place of the template's rarest word, merged if they meet.
+        """Stretches around each place of the template's rarest word.
 
-        A word that no alignment needs may be missing; then, or in a long
-        template, the places of any of its words that stand in few places serve.
+        A short template is laid over the text by that word, with little to spare on
+        either side. Stretches of a long one are merged if they meet; if the word is
+        missing, the places of any of its words serve.
         """
+        if len(template) <= SHORT_WORDS:
+            spare = 1 + len(template) // 4
+            first = template.index(rarest)
+            last = len(template) - template[::-1].index(rarest)
+            return [
+                (max(0, i - last + 1 - spare), i + len(template) - first + spare)
+                for i, w in enumerate(words)
+                if w == rarest
+            ]
         places = [i for i, w in enumerate(words) if w == rarest]
         if not places:
             inside = set(template)
@@ -216,7 +238,7 @@ class Scanner:
         regions: list[list[int]] = []
         for i in places:
             low, high = max(0, i - reach), min(len(words), i + reach + 1)
-            if regions and low <= regions[-1][1] and len(template) > SHORT_WORDS:
+            if regions and low <= regions[-1][1]:
                 regions[-1][1] = high
             else:
                 regions.append([low, high])
@@ -232,8 +254,10 @@ def scan_licenses(
     first_word, last_word.
 
     `coverage` is the share of the template's words that the alignment matches; of
-    several texts of one license the best counts. Words are letters and digits,
-    case ignored. Short notices must also match the words that set them apart.
+    several texts of one license the best counts, and of two licenses found in the
+    same words the one that matches more of them. Words are letters and digits,
+    case ignored. Short notices must also match the words that set them apart, without
+    many others between.
     `first_word` and `last_word` number the document's words from 0.
 
     Null and empty texts hold no license. Repeated rows give their rows again;
