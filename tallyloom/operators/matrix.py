@@ -106,26 +106,34 @@ def period_matrix(
     *,
     null_keys: str = "keep",
     carry: Mapping[str, Column] | None = None,
+    smallest: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Sum every bucket per distinct key of the complete months in `df`.
 
     `df` has integer YEAR and MONTH, the keys and the measures. Keys without
     sales in any bucket stay, empty buckets are 0. `null_keys="zero"` turns the
     buckets of rows with a null key to 0 (see :func:`zero_null_keys`). `carry`
-    adds further aggregates, such as an attribute of the group.
+    adds further aggregates. `smallest` adds the least value of text columns: those
+    can't be hash-aggregated, so they join the key first and the minimum is taken
+    over the sums, not over the sales.
     """
     check_null_keys(null_keys)
-    carry = carry or {}
+    carry, smallest = carry or {}, smallest or {}
+    if carry and smallest:
+        raise ValueError("carry and smallest are for different matrices")
     slices = _slices(buckets)
-    totals = (
-        complete_months(df, as_of)
-        .withColumn("_period", period_key())
-        .groupBy(*all_quoted(keys))
-        .agg(
-            *(F.expr(_sum_of(*span)).alias(name) for span, name in slices.items()),
-            *(column.alias(name) for name, column in carry.items()),
+    rows = complete_months(df, as_of).withColumn("_period", period_key())
+    columns = all_quoted([*keys, *smallest.values()])
+    sums = [
+        *(F.expr(_sum_of(*span)).alias(name) for span, name in slices.items()),
+        *(column.alias(name) for name, column in carry.items()),
+    ]
+    totals = rows.groupBy(*columns).agg(*sums) if sums else rows.select(*columns).distinct()
+    if smallest:
+        totals = totals.groupBy(*all_quoted(keys)).agg(
+            *(F.sum(name).alias(name) for name in slices.values()),
+            *(F.min(F.col(quoted(text))).alias(name) for name, text in smallest.items()),
         )
-    )
     kinds = {field.name: field.dataType for field in df.schema.fields}
 
     def total(bucket: Bucket) -> str:
@@ -140,7 +148,8 @@ def period_matrix(
         kind = _sum_type(kinds[bucket.measure]).simpleString()
         return f"cast({' + '.join(parts) or 0} AS {kind}) AS {quoted(bucket.name)}"
 
-    matrix = totals.selectExpr(*all_quoted(keys), *map(total, buckets), *all_quoted(carry))
+    carried = all_quoted([*carry, *smallest])
+    matrix = totals.selectExpr(*all_quoted(keys), *map(total, buckets), *carried)
     if null_keys == "zero":
         matrix = zero_null_keys(matrix, keys, [bucket.name for bucket in buckets])
     return matrix

@@ -26,6 +26,8 @@ from tallyloom.operators.matrix import (
 from tallyloom.sources.schemas import CATEGORY_MAP_A, PRODUCTS, STORED_SALES
 from tallyloom.sources.sinks import written
 
+# The key of the report, the product columns it shows, and further
+# down the order of its columns.
 KEYS = ["ISBN", "TITLE", "NAMECUST", "HQ Account Number", "SL Account Number", "IPS Sale"]
 FACT = T.StructType([f for f in STORED_SALES.fields if f.name != "SL Class of Trade"])
 PRODUCT_COLUMNS = T.StructType(

@@ -47,11 +47,11 @@ def clean_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> Da
         strip(F.col("LONG_TITLE")).alias("LONG_TITLE"),
     )
     rows = fill_from(rows, names, {"ISBN": "Z_ID"}, "TITLE", "LONG_TITLE")
-    day = raw_date(F.col("Date"))
-    rows = rows.withColumns(
+    # A column of its own, so that a date text is examined once for both parts.
+    rows = rows.withColumn("_day", raw_date(F.col("Date"))).withColumns(
         {
-            "YEAR": F.year(day),
-            "MONTH": F.month(day),
+            "YEAR": F.year("_day"),
+            "MONTH": F.month("_day"),
             "NETUNITS": or_zero(round_half_even(F.col("NETUNITS"))),
             "NETAMT": or_zero(F.col("NETAMT").cast(MONEY)),
         }

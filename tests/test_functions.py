@@ -92,4 +92,3 @@ def test_fills_and_order(spark):
     filled = cleaning.fill_nulls(df, zero=["a"], empty=["b"]).first()
     assert tuple(filled) == (0, "", 1.9)
     assert tuple(cleaning.whole_numbers(df, keep=["x"]).first()) == (0, None, 1)
-    assert cleaning.arrange(df, ["c", "nope", "a"]).columns == ["c", "a", "b"]

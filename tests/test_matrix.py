@@ -53,7 +53,7 @@ def test_only_empty_buckets(facts):
     df = facts(("1", "t", "n", "c", 200012, 4, 9))
     day = date(2001, 1, 10)
     cells = matrix.ytd(day, {"NETUNITS": "U", "NETAMT": "D"})
-    df = matrix.period_matrix(df, KEYS, cells, day, carry={"CLASS": F.min("TITLE")})
+    df = matrix.period_matrix(df, KEYS, cells, day, smallest={"CLASS": "TITLE"})
     assert [tuple(r) for r in df.collect()] == [("1", "t", "n", "c", 0, 0, "t")]
 
 

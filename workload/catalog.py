@@ -148,7 +148,7 @@ def first_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["ISBN", "NAMECUST"],
         matrix.trailing(AS_OF, 12, {UNITS: "12M_UNITS"}),
         AS_OF,
-        carry={"SALES_CLASS": F.min("SL Class of Trade")},
+        smallest={"SALES_CLASS": "SL Class of Trade"},
     )
 
 
