@@ -1,22 +1,5 @@
 """Intermediates that are written to shared storage and read back."""
 
-from __future__ import annotations
+from tallyloom.sources.sinks import written
 
-from pyspark.sql import DataFrame
-
-from tallyloom.sources.session import shared_folder
-
-
-def written(rows: DataFrame, purpose: str) -> DataFrame:
-    """The same rows, cut from their lineage by a write to the shared folder.
-
-    Later stages read files that every executor sees, so a lost executor costs
-    its own tasks only, and a plan that is used twice is computed once. The
-    files go when the driver's JVM ends.
-    """
-    spark = rows.sparkSession
-    path = shared_folder(spark, purpose)
-    rows.write.parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(rows.schema).parquet(path)
+__all__ = ["written"]
