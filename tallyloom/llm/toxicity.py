@@ -32,11 +32,14 @@ EXCEPTIONS = ("trash can", "trash bin", "pond scum", "clown fish", "class clown"
 
 PREFIX_CHARS = range(3, 9)
 LEXICON_SIZE = 20_000
+CANDIDATES = 200_000
 # A model is learned from about so many labelled rows at most.
 LEARNED_ROWS = 50_000
 
 _SUSPECT = re.compile(r"[013457@$!][^\W\d_]")
-_INNER = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])")
+_INNER = re.compile(
+    r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![\w@$!])[013457@$!](?=[^\W\d_])"
+)
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
 _INVISIBLE = {0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF}
 
@@ -60,7 +63,8 @@ _FOLDED = _Folded()
 def fold(text: str | None) -> list[str]:
     """The words of a text: letters only, lower case, look-alikes replaced.
 
-    A digit or sign is read as a letter only between two letters.
+    A digit or sign is read as a letter between two letters, or as the one
+    character before a word's first letter.
     """
     text = text or ""
     if _SUSPECT.search(text):
@@ -122,40 +126,42 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0
 
 
-def _counts(labelled: DataFrame) -> DataFrame:
-    """For each word beginning its documents by half of the rows and label."""
+def _beginnings(rows: DataFrame, wanted: frozenset[str] | None = None) -> DataFrame:
+    """prefix, n0 and n1: in how many documents of either half a word begins so.
 
-    def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = {(half, toxic): Counter() for half in (0, 1) for toxic in (0, 1)}
+    With `wanted`, only for the beginnings in it. A task adds up its own documents
+    before anything moves.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
-        def rows() -> pd.DataFrame:
-            frame = pd.concat(
-                pd.DataFrame({"prefix": list(c), "half": half, "toxic": toxic, "n": list(c.values())})
-                for (half, toxic), c in counts.items()
+    def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, asked = (Counter(), Counter()), shared.value
+
+        def found() -> pd.DataFrame:
+            keys = [*counts[0], *counts[1]]
+            frame = pd.DataFrame(
+                {
+                    "prefix": pd.Series(keys, dtype=object),
+                    "half": [0] * len(counts[0]) + [1] * len(counts[1]),
+                    "n": [*counts[0].values(), *counts[1].values()],
+                }
             )
-            for c in counts.values():
-                c.clear()
+            counts[0].clear(), counts[1].clear()
             return frame
 
         for frame in frames:
-            for text, half, toxic in zip(frame["text"], frame["half"], frame["toxic"], strict=True):
+            for text, half in zip(frame["text"], frame["half"], strict=True):
                 words = set(fold(text))
-                counts[half, toxic].update({w[:k] for k in PREFIX_CHARS for w in words if k <= len(w)})
-                if sum(map(len, counts.values())) > 400_000:
-                    yield rows()
-        yield rows()
+                starts = {w[:k] for k in PREFIX_CHARS for w in words if k <= len(w)}
+                counts[half].update(starts if asked is None else starts & asked)
+                if len(counts[0]) + len(counts[1]) > 400_000:
+                    yield found()
+        yield found()
 
     return (
-        labelled.mapInPandas(tally, "prefix string, half int, toxic int, n bigint")
+        rows.mapInPandas(tally, "prefix string, half int, n bigint")
         .groupBy("prefix")
-        .agg(
-            *[
-                F.sum(F.when((F.col("half") == half) & (F.col("toxic") == toxic), F.col("n")).otherwise(0))
-                .alias(f"n{half}{toxic}")
-                for half in (0, 1)
-                for toxic in (0, 1)
-            ]
-        )
+        .agg(*[F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)])
     )
 
 
@@ -184,8 +190,9 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Mode
     Entries are word beginnings. One is taken if it speaks for toxic documents in
     one half of the rows and does so again in the other, which it wasn't picked
     from. Its weight is its log-odds. The lexicon holds the `LEXICON_SIZE`
-    heaviest entries at most; that bounds the model, not the rows it is learned
-    from. Rows without a label are left out; without any, every score is low.
+    heaviest entries at most, out of the `CANDIDATES` most frequent in toxic
+    documents; that bounds the model, not the rows it is learned from. Rows without
+    a label are left out; without any, every score is low.
     """
     rows = written(
         labelled.where("toxic in (0, 1)").select(
@@ -195,23 +202,27 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Mode
         ),
         "toxicity-rows",
     )
-    known = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
-    others, toxic = (sum(known.get((h, y), 0) for h in (0, 1)) for y in (0, 1))
+    known = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    others, toxic = known.get(0, 0), known.get(1, 0)
     least = max(2, math.ceil(0.002 * toxic))
-    n = {key: F.col(f"n{key}") for key in ("00", "01", "10", "11")}
-    weight = F.log(
-        ((n["01"] + n["11"] + 0.5) / (toxic + 1.0)) / ((n["00"] + n["10"] + 0.5) / (others + 1.0))
-    )
-    picked = (
-        _counts(rows)
-        .where((n["01"] + n["11"] >= 2 * least) & (n["01"] >= least - 1) & (n["11"] >= least - 1))
-        .where((n["01"] >= 4 * n["00"]) & (n["11"] >= 4 * n["10"]))
-        .select("prefix", weight.alias("weight"))
-        .where("weight > 1")
-        .orderBy(F.desc("weight"), "prefix")
-        .limit(LEXICON_SIZE)
+    supported = (
+        _beginnings(rows.where("toxic = 1"))
+        .where((F.col("n0") + F.col("n1") >= 2 * least) & (F.least("n0", "n1") >= least - 1))
+        .orderBy(F.desc(F.col("n0") + F.col("n1")), "prefix")
+        .limit(CANDIDATES)
     )
-    weights = {r["prefix"]: r["weight"] for r in picked.collect()}
+    speaks_for = {r["prefix"]: (r["n0"], r["n1"]) for r in supported.collect()}
+    elsewhere = _beginnings(rows.where("toxic = 0"), frozenset(speaks_for))
+    against = {r["prefix"]: (r["n0"], r["n1"]) for r in elsewhere.collect()}
+    weights = {}
+    for prefix, pro in speaks_for.items():
+        con = against.get(prefix, (0, 0))
+        if all(p >= 4 * c for p, c in zip(pro, con, strict=True)):
+            odds = (sum(pro) + 0.5) / (toxic + 1.0) / ((sum(con) + 0.5) / (others + 1.0))
+            if odds > math.e:
+                weights[prefix] = math.log(odds)
+    heaviest = sorted(weights, key=lambda prefix: (-weights[prefix], prefix))[:LEXICON_SIZE]
+    weights = {prefix: weights[prefix] for prefix in heaviest}
     strengths = _strengths(rows, Model(weights, exceptions, 1.0, 0.0), "toxic")
     bins = (
         strengths.groupBy(F.floor(F.least(F.col("strength"), F.lit(100.0)) * 20).alias("bin"))
@@ -269,4 +280,5 @@ def training_rows(
     usable = labels.select("doc_id", "toxic").where(~held_out(F.col("doc_id"))).distinct()
     share = most_rows / max(usable.count(), most_rows)
     chosen = usable.where(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+    # Broadcast: the labels chosen are no more than `most_rows`, or nearly so.
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
