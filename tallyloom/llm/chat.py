@@ -60,6 +60,7 @@ class Windows:
     def start(self, system: tuple[str, str] | None) -> None:
         """A new stretch; `system` is the system turn of the conversation, if it lies before."""
         self.system, self.before = system, 0
+        self.pending_system: tuple[str, str] | None = None
         self.past: deque[tuple[int, str, str]] = deque()
         self.span: list[tuple[str, str, int]] = []
         self.used = self.overhead()
@@ -84,8 +85,6 @@ class Windows:
             self.pending_system = (role, text)
         return done
 
-    pending_system: tuple[str, str] | None = None
-
     def close(self) -> tuple[str, list[tuple[int, int]]] | None:
         """The window of the turns held. They become history, as far as it goes back."""
         if not self.span:
