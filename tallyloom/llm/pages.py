@@ -210,24 +210,22 @@ def _parsed(pages: DataFrame) -> DataFrame:
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             places = [_place(url) for url in frame["url"]]
-            signs, undecided = [], []
+            signs = []
             for html in frame["html"]:
                 lines = page_lines(html)
                 signs.append([xxhash.xxh3_64_intdigest(text) - (1 << 63) for text, _ in lines])
-                undecided.append(any(role == UNDECIDED for _, role in lines))
             yield pd.DataFrame(
                 {
                     "page_key": frame["page_key"],
                     "host": [host for host, _ in places],
                     "path": [path for _, path in places],
                     "signs": signs,
-                    "undecided": undecided,
                 }
             )
 
     return pages.select(_page_key().alias("page_key"), "url", "html").mapInPandas(
         parse,
-        "page_key bigint, host string, path string, signs array<bigint>, undecided boolean",
+        "page_key bigint, host string, path string, signs array<bigint>",
     )
 
 
@@ -238,7 +236,7 @@ def _page_key():
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """page_key and shared, the lines of a page that its nearest page has as well.
+    """page_key and shared: for each line whether the page's nearest page has it as well.
 
     Pages of a host stand in the order of their paths; each is laid beside the next
     before and after it, whichever shares more of the path, the one before if
@@ -249,7 +247,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     """
     parsed = written(_parsed(pages), "page-lines")
     order = running_totals(
-        parsed.drop("signs", "undecided").distinct(), ["host"], ["path", "page_key"], F.lit(1), "at"
+        parsed.drop("signs").distinct(), ["host"], ["path", "page_key"], F.lit(1), "at"
     ).join(parsed.select("page_key", "signs").dropDuplicates(["page_key"]), "page_key")
     order = written(order, "page-order")
     sides = [
@@ -260,7 +258,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     ]
     beside = order.join(sides[0], ["host", "at"], "left").join(sides[1], ["host", "at"], "left")
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<boolean>")
     def shared(path: pd.Series, signs: pd.Series, before: pd.DataFrame, after: pd.DataFrame) -> pd.Series:
         found = []
         for i in range(len(path)):
@@ -275,7 +273,8 @@ def shared_lines(pages: DataFrame) -> DataFrame:
                 found.append([])
                 continue
             nearest = max(sides, key=lambda side: side[0])[1]
-            found.append(np.flatnonzero(common(own, nearest)).tolist())
+            lines = common(own, nearest)
+            found.append(lines.tolist() if lines.any() else [])
         return pd.Series(found)
 
     return beside.select("page_key", shared("path", "signs", "before", "after").alias("shared")).where(
@@ -303,25 +302,29 @@ def main_text(pages: DataFrame) -> DataFrame:
     Null html: empty text. Null url: such pages are a host of their own. Repeated
     rows get a row each. Blocks are joined by one space in page order.
     """
-    @F.pandas_udf("string")
-    def text(html: pd.Series, shared: pd.Series) -> pd.Series:
-        out = []
-        for page, places in zip(html, shared, strict=True):
-            lines = page_lines(page)
-            template = set() if places is None else set(places)
-            kept = [
-                line
-                for n, (line, role) in enumerate(lines)
-                if role == MARKUP_IN or role == UNDECIDED and n not in template
+
+    @F.pandas_udf("array<struct<n int, text string, main boolean>>")
+    def lines(html: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                [
+                    {"n": n, "text": text, "main": role == MARKUP_IN}
+                    for n, (text, role) in enumerate(page_lines(page))
+                    if role != MARKUP_OUT
+                ]
+                for page in html
             ]
-            if not kept:
-                kept = [line for line, role in lines if role == UNDECIDED]
-            out.append(" ".join(kept))
-        return pd.Series(out, dtype=object)
+        )
 
+    kept = F.filter(
+        "lines", lambda line: line["main"] | ~F.coalesce(F.get("shared", line["n"]), F.lit(False))
+    )
+    texts = F.transform(
+        F.when(F.size(kept) > 0, kept).otherwise(F.col("lines")), lambda line: line["text"]
+    )
     return (
-        pages.select("page_id", "url", "html", _page_key().alias("page_key"))
+        pages.select("page_id", "url", _page_key().alias("page_key"), lines("html").alias("lines"))
         .join(shared_lines(pages), "page_key", "left")
-        .select("page_id", "url", text("html", "shared").alias("text"))
+        .select("page_id", "url", F.array_join(texts, " ").alias("text"))
         .withColumn("n_chars", F.length("text").cast("bigint"))
     )
