@@ -40,7 +40,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         )
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
+        large = large.where("u != v")  # a pair may repeat until the round's end
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), "m")
         pairs = written(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.storage import written
-from tallyloom.llm.text import WORD_BYTES, distinct_rows, text_key
+from tallyloom.llm.text import WORD_BYTES, row_key, text_key
 
 SEED = 42
 SHINGLE = 4
@@ -271,15 +271,14 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("best.text_key").alias("_t"),
         )
     )
-    row = F.col("row")
+    # Each task keeps one of its rows of a document before texts move.
     one_each = (
-        distinct_rows(docs)
-        .select(
-            F.coalesce(row["doc_id"], F.lit(0)).alias("_d"),
-            row["doc_id"].isNull().alias("_n"),
-            text_key(row["text"]).alias("_t"),
-            "row_key",
-            "row",
+        docs.select(
+            F.coalesce("doc_id", F.lit(0)).alias("_d"),
+            F.col("doc_id").isNull().alias("_n"),
+            text_key(F.col("text")).alias("_t"),
+            row_key(docs).alias("row_key"),
+            F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
         )
         .groupBy("_d", "_n", "_t")
         .agg(F.min_by("row", "row_key").alias("row"))
