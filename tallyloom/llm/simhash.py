@@ -25,18 +25,25 @@ MOST_IN_BUCKET = 1 << 16
 FINEST = 16
 
 
-def fingerprint(text: str | None) -> int:
-    """64 bits, each set if it is set in over half the shingle hashes."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """A hash for each run of `shingle` words; a shorter text is one run."""
     words = WORD_BYTES.findall((text or "").encode().lower())
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
-    size = min(SHINGLE, len(words))
+    size = min(shingle, len(words))
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - size + 1]
     digest = xxhash.xxh64_intdigest
     spans = zip(starts.tolist(), ends[size - 1 :].tolist(), strict=True)
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype="<u8", count=len(starts))
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype="<u8", count=len(starts))
+
+
+def fingerprint(text: str | None) -> int:
+    """64 bits, each set if it is set in over half the shingle hashes."""
+    hashes = shingle_hashes(text, SHINGLE)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 4096):
         block = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
@@ -261,9 +268,13 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     Among rows of one doc_id the text with the least key stays. Columns as they
     came.
     """
+    return one_of_each(docs, near_duplicates(docs))
+
+
+def one_of_each(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The row of each root that has the least doc_id, from doc_id, text_key and root."""
     chosen = (
-        near_duplicates(docs)
-        .groupBy("root")
+        labelled.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best"))
         .select(
             F.coalesce("best.doc_id", F.lit(0)).alias("_d"),

@@ -10,7 +10,8 @@ import pytest
 import xxhash
 
 import __spark_entry__ as entry
-from tallyloom.llm import components, decontamination, line_dedup, simhash
+import corpus_pipeline
+from tallyloom.llm import components, decontamination, line_dedup, simhash, similar
 from tests.llm.conftest import rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -238,3 +239,59 @@ def test_edited_items_are_found(spark, documents):
         assert clean.columns == docs.columns and clean.count() == len(rows) - len(expected)
     assert decontamination.find_items(docs.limit(0), benchmark).count() == 0
     assert decontamination.without_items(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def slow_sets(text):
+    words = [w for w in _split((text or "").encode().lower()) if w]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_similar(rows):
+    """The least id of each group of 5-word Jaccard similarity 0.8, by flooding."""
+    sets, label = {i: slow_sets(t) for i, t in rows}, {}
+    for start in sorted(sets):
+        stack = [] if start in label else [start]
+        while stack:
+            p = stack.pop()
+            label[p] = start
+            for q in sets:
+                if q not in label and q not in stack:
+                    shared, whole = len(sets[p] & sets[q]), len(sets[p] | sets[q])
+                    if sets[p] == sets[q] or whole and shared / whole >= 0.8:
+                        stack.append(q)
+    return set(label.values())
+
+
+@pytest.mark.parametrize("each", [0, similar.PAIRS_EACH])
+def test_similar_texts_against_brute_force(spark, documents, monkeypatch, each):
+    """Edited copies that few fingerprints of 4 bits join; also with stars throughout."""
+    monkeypatch.setattr(similar, "PAIRS_EACH", each)
+    rng, rows = random.Random(12), []
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 400))]
+        rows.append(" ".join(words))
+        for _ in range(9):
+            edited = list(words)
+            for at in rng.sample(range(len(words)), round(len(words) * rng.choice([0.01, 0.02, 0.025, 0.05]))):
+                edited[at] = "other"
+            rows.append(" ".join(edited))
+    rows = list(enumerate([*rows, "", None, "a b", "A  b", "one\ttwo"], 1))
+    kept = {r["doc_id"] for r in similar.without_near_duplicates(documents(*rows)).collect()}
+    assert kept == slow_similar(rows)
+    by_bits = {r["doc_id"] for r in simhash.without_near_duplicates(documents(*rows)).collect()}
+    assert len(by_bits) > len(kept)
+
+
+def test_similar_rows_of_the_tables(spark):
+    """Every group that brute force finds at sf0.001, through the pipeline's stage."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert {r["doc_id"] for r in found.collect()} == slow_similar(rows)
+
+
+def test_similar_cases(spark, documents):
+    docs = documents((None, "a b"), (4, "a\tB"), (4, "a\tB"), (None, "only here"), (1, None), (2, ""))
+    assert sorted((r["doc_id"] for r in similar.without_near_duplicates(docs).collect()), key=repr) == [1, 4, None]
+    assert similar.without_near_duplicates(docs.limit(0)).count() == 0
