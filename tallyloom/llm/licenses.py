@@ -6,13 +6,14 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from importlib import resources
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAST_COVERAGE = 0.8
-# A word that other licenses lack must be matched where a template has few words.
+# A template of so few words is laid over the text as a whole.
 SHORT_WORDS = 25
 
 # Public license texts and notices, by SPDX name.
@@ -91,6 +92,114 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# What the licenses of one family have in common, apart from name and version.
+_PROGRAM = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU"
+    " {1}General Public License as published by the Free Software Foundation; {2} This {0} is"
+    " distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+    " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General"
+    " Public License for more details."
+)
+_DISCLAIMER = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR'
+    " IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND"
+    " FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR"
+    " CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR"
+    " CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+    " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY"
+    " THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR"
+    " OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE"
+    " POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC_DISCLAIMER = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS'
+    " SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE"
+    " AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES"
+    " WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,"
+    " NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE"
+    " OF THIS SOFTWARE."
+)
+
+
+def _gnu(kind: str, version: str) -> tuple[str, ...]:
+    full = f"{kind} " if kind else ""
+    short = {"": "GPL", "Lesser": "LGPL", "Library": "LGPL", "Affero": "AGPL"}[kind]
+    plain = version.removesuffix(".0")
+    either = f"either version {plain} of the License, or (at your option) any later version."
+    return (
+        f"This work is licensed under the GNU {full}General Public License, version {plain}.",
+        f"Licensed under the GNU {full}General Public License version {plain}.",
+        f"Licensed under the {short} version {plain}.",
+        f"SPDX-License-Identifier: {short}-{version}",
+        *(_PROGRAM.format(what, full, either) for what in ("program", "library")),
+        *(_PROGRAM.format(what, full, f"version {plain} of the License.") for what in ("program", "library")),
+    )
+
+
+def _creative_commons(code: str, words: str, version: str) -> tuple[str, ...]:
+    place = "International" if version == "4.0" else "Unported"
+    return (
+        f"Licensed under CC {code} {version}.",
+        f"This work is licensed under a Creative Commons {words} {version} {place} License.",
+        f"SPDX-License-Identifier: CC-{code}-{version}",
+    )
+
+
+def _more(name: str, *texts: str) -> None:
+    TEMPLATES[name] = tuple(dict.fromkeys((*TEMPLATES.get(name, ()), *texts)))
+
+
+for _kind, _short, _versions in (
+    ("", "GPL", ("1.0", "2.0", "3.0")), ("Library", "LGPL", ("2.0",)),
+    ("Lesser", "LGPL", ("2.1", "3.0")), ("Affero", "AGPL", ("3.0",)),
+):
+    for _version in _versions:
+        _more(f"{_short}-{_version}", *_gnu(_kind, _version))
+for _code, _words in (
+    ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+):
+    for _version in ("3.0", "4.0"):
+        _more(f"CC-{_code}-{_version}", *_creative_commons(_code, _words, _version))
+for _name, _title in (("BSD-2-Clause", "BSD 2-Clause"), ("BSD-3-Clause", "BSD 3-Clause"), ("ISC", "ISC")):
+    _more(_name, f"Licensed under the {_title} License.", f"Released under the {_title} License.",
+          f"SPDX-License-Identifier: {_name}")
+_more("BSD-3-Clause", TEMPLATES["BSD-3-Clause"][1] + _DISCLAIMER)
+_CONDITIONS = TEMPLATES["BSD-3-Clause"][1].split(" Neither the name")[0]
+_more("BSD-2-Clause", _CONDITIONS, _CONDITIONS + _DISCLAIMER)
+_more("ISC", TEMPLATES["ISC"][1] + _ISC_DISCLAIMER)
+_more("0BSD", TEMPLATES["ISC"][1].split(", provided that")[0] + "." + _ISC_DISCLAIMER)
+_more("MIT-0", "SPDX-License-Identifier: MIT-0",
+      TEMPLATES["MIT"][3].split(", subject to")[0] + "." + TEMPLATES["MIT"][3].split("of the Software.")[1])
+for _version in ("1.1", "2.0"):
+    _more(f"MPL-{_version}", f"Licensed under the Mozilla Public License, version {_version}.",
+          f"SPDX-License-Identifier: MPL-{_version}")
+_more("CC0-1.0", "Licensed under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0",
+      "This work is released under the Creative Commons CC0 1.0 Universal Public Domain Dedication.",
+      "To the extent possible under law, the author has waived all copyright and related or"
+      " neighboring rights to this work.")
+_more("Unlicense", "Released under the Unlicense.", "SPDX-License-Identifier: Unlicense",
+      "This is free and unencumbered software released into the public domain.")
+
+# What a short notice says besides the name and version of its license.
+GENERIC = frozenset(
+    "this work is licensed released under a the of license licence version v spdx identifier"
+    " international unported universal terms".split()
+)
+# Words that tell apart licenses whose long notices agree otherwise.
+DISTINCT = frozenset("lesser library affero apache mozilla".split())
+# A longer template is a whole license, with numbers that tell nothing of its version.
+NOTICE_WORDS = 250
+
+
+def all_templates() -> dict[str, tuple[str, ...]]:
+    """The notices, and the whole texts in `license_texts`."""
+    folder = resources.files("tallyloom.llm") / "license_texts"
+    whole = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+    return {name: (*texts, *([whole[name]] if name in whole else [])) for name, texts in TEMPLATES.items()}
+
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -160,39 +269,40 @@ class Scanner:
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]], least_coverage: float) -> None:
         self.least = least_coverage
-        self.templates: list[tuple[str, list[str], Counter, frozenset[str], str]] = []
-        owners: dict[str, set[str]] = {}
-        for name, texts in templates.items():
-            for text in texts:
-                for word in words_in(text):
-                    owners.setdefault(word, set()).add(name)
+        self.templates: list[tuple[str, list[str], Counter, frozenset[str]]] = []
         for name, texts in templates.items():
             for text in texts:
                 words = words_in(text)
-                if not words:
-                    continue
-                short = len(words) <= SHORT_WORDS
-                # what sets a short notice apart: words of few licenses, and numbers
-                fewest = min(len(owners[w]) for w in words)
-                needed = {w for w in words if len(owners[w]) == fewest or w.isdigit()} if short else set()
-                needed |= {w for w in words if short and len(owners[w]) <= 2}
-                rarest = min(words, key=lambda w: (len(owners[w]), -len(w), w))
-                self.templates.append((name, words, Counter(words), frozenset(needed), rarest))
+                if words:
+                    self.templates.append((name, words, Counter(words), self._needed(words)))
+
+    @staticmethod
+    def _needed(words: list[str]) -> frozenset[str]:
+        """Words that must be matched: name and version."""
+        if len(words) <= SHORT_WORDS:
+            return frozenset(set(words) - GENERIC)
+        if len(words) <= NOTICE_WORDS:
+            return frozenset(w for w in words if w.isdigit() or w in DISTINCT)
+        return frozenset()
 
     def scan(self, text: str | None) -> dict[str, tuple[float, int, int, int]]:
         """By license the best coverage, its words matched, and its first and last word."""
         words = words_in(text)
         counts = Counter(words)
-        best: dict[str, tuple[float, int, int, int]] = {}
-        for name, template, wanted, needed, rarest in self.templates:
+        all_found: list[tuple[int, float, int, int, str]] = []
+        for name, template, wanted, needed in self.templates:
             size = len(template)
             short = size <= SHORT_WORDS
-            if not all(w in counts for w in needed):
+            if len(words) < self.least * size or not all(w in counts for w in needed):
                 continue
             # no alignment can cover more than the words at hand
             if sum(min(n, counts.get(w, 0)) for w, n in wanted.items()) < self.least * size:
                 continue
-            for low, high in self._regions(words, template, rarest):
+            if short:
+                regions = self._laid_over(words, template, min(needed or wanted, key=lambda w: (counts[w], w)))
+            else:
+                regions = self._regions(words, size, wanted)
+            for low, high in regions:
                 pairs = patience(words[low:high], template)
                 covered = {template[j] for _, j in pairs}
                 coverage = len(pairs) / size
@@ -201,40 +311,45 @@ class Scanner:
                 first, last = low + pairs[0][0], low + pairs[-1][0]
                 if short and last - first + 1 > size / self.least:
                     continue
-                found = (coverage, len(pairs), first, last)
-                if found[:2] > best.get(name, (0.0, 0, 0, 0))[:2]:
-                    best[name] = found
-        # a notice within a longer one that matches more words is part of that one
-        return {
-            name: found
-            for name, found in best.items()
-            if not any(
-                other[1] > found[1] and other[2] <= found[2] and found[3] <= other[3]
-                for other in best.values()
-            )
-        }
-
-    def _regions(self, words: list[str], template: list[str], rarest: str) -> list[tuple[int, int]]:
-        """Stretches around each place of the template's rarest word.
-
-        A short template is laid over the text by that word, with little to spare on
-        either side. Stretches of a long one are merged if they meet; if the word is
-        missing, the places of any of its words serve.
-        """
-        if len(template) <= SHORT_WORDS:
-            spare = 1 + len(template) // 4
-            first = template.index(rarest)
-            last = len(template) - template[::-1].index(rarest)
-            return [
-                (max(0, i - last + 1 - spare), i + len(template) - first + spare)
-                for i, w in enumerate(words)
-                if w == rarest
-            ]
+                all_found.append((len(pairs), coverage, first, last, name))
+        return self._best(all_found)
+
+    @staticmethod
+    def _best(all_found: list[tuple[int, float, int, int, str]]) -> dict[str, tuple[float, int, int, int]]:
+        """Of two licenses in the same words the one that matches more of them, or else
+        the one whose template leaves fewer words unmatched; by license the best."""
+        kept: list[tuple[int, float, int, int, str]] = []
+        best: dict[str, tuple[float, int, int, int]] = {}
+        for found in sorted(all_found, key=lambda x: (-x[0], -x[1])):
+            matched, coverage, first, last, name = found
+            if any(
+                other[:2] > found[:2] and other[4] != name
+                and min(last, other[3]) - max(first, other[2]) + 1 >= 0.8 * (last - first + 1)
+                for other in kept
+            ):
+                continue
+            kept.append(found)
+            if (coverage, matched) > best.get(name, (0.0, 0, 0, 0))[:2]:
+                best[name] = (coverage, matched, first, last)
+        return best
+
+    def _laid_over(self, words: list[str], template: list[str], word: str) -> list[tuple[int, int]]:
+        """Where a short template may lie by this word of it, with little to spare."""
+        spare = 1 + len(template) // 4
+        first = template.index(word)
+        last = len(template) - template[::-1].index(word)
+        return [
+            (max(0, i - last + 1 - spare), i + len(template) - first + spare)
+            for i, w in enumerate(words)
+            if w == word
+        ]
+
+    def _regions(self, words: list[str], size: int, wanted: Counter) -> list[tuple[int, int]]:
+        """Stretches around each place of the template's rarest word, merged if they meet."""
+        rarest = min(wanted, key=lambda w: (wanted[w], -len(w), w))
         places = [i for i, w in enumerate(words) if w == rarest]
-        if not places:
-            inside = set(template)
-            places = [i for i, w in enumerate(words) if w in inside]
-        reach = len(template) + len(template) // 2 + 2
+        places = places or [i for i, w in enumerate(words) if w in wanted]
+        reach = size + size // 2 + 2
         regions: list[list[int]] = []
         for i in places:
             low, high = max(0, i - reach), min(len(words), i + reach + 1)
@@ -257,13 +372,14 @@ def scan_licenses(
     several texts of one license the best counts, and of two licenses found in the
     same words the one that matches more of them. Words are letters and digits,
     case ignored. Short notices must also match the words that set them apart, without
-    many others between.
+    many others between; long ones the numbers and names that tell versions and
+    siblings apart.
     `first_word` and `last_word` number the document's words from 0.
 
     Null and empty texts hold no license. Repeated rows give their rows again;
     other columns are ignored.
     """
-    templates = dict(TEMPLATES if templates is None else templates)
+    templates = dict(all_templates() if templates is None else templates)
     ready: list[Scanner] = []
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

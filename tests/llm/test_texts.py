@@ -96,6 +96,33 @@ def test_license_query_against_plain_search(spark):
     assert {(r["doc_id"], r["license"]) for r in found} == expected and expected
 
 
+def names_in(text):
+    return set(licenses.Scanner(licenses.all_templates(), licenses.LEAST_COVERAGE).scan(text))
+
+
+def test_sibling_licenses_are_told_apart():
+    """Every template, edited a little or not, gives its own license and no other."""
+    rng = random.Random(4)
+    scanner = licenses.Scanner(licenses.all_templates(), licenses.LEAST_COVERAGE)
+    for name, texts in licenses.all_templates().items():
+        for text in texts:
+            assert set(scanner.scan("Some words before. " + text + " Some words after.")) == {name}, text[:90]
+            words = text.split()
+            if len(words) > 300:
+                text = " ".join(w for w in words if rng.random() > 0.04)
+                assert set(scanner.scan(text)) == {name}, text[:90]
+    assert {"GPL-2.0", "LGPL-2.1", "AGPL-3.0", "BSD-2-Clause", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense"} <= set(
+        licenses.all_templates()
+    )
+
+
+def test_versions_without_a_template_give_no_row():
+    notice = licenses.TEMPLATES["GPL-3.0"][3]
+    assert names_in(notice) == {"GPL-3.0"}
+    assert names_in(notice.replace("version 3", "version 7")) == set()
+    assert names_in(licenses.TEMPLATES["Apache-2.0"][3].replace("2.0", "5.5")) == set()
+
+
 def test_patience_aligns_equal_words_in_order():
     rng = random.Random(9)
     for _ in range(300):
