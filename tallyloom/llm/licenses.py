@@ -345,19 +345,37 @@ class Scanner:
         ]
 
     def _regions(self, words: list[str], size: int, wanted: Counter) -> list[tuple[int, int]]:
-        """Stretches around each place of the template's rarest word, merged if they meet."""
-        rarest = min(wanted, key=lambda w: (wanted[w], -len(w), w))
-        places = [i for i, w in enumerate(words) if w == rarest]
-        places = places or [i for i, w in enumerate(words) if w in wanted]
-        reach = size + size // 2 + 2
-        regions: list[list[int]] = []
-        for i in places:
-            low, high = max(0, i - reach), min(len(words), i + reach + 1)
-            if regions and low <= regions[-1][1]:
-                regions[-1][1] = high
-            else:
-                regions.append([low, high])
-        return [(low, high) for low, high in regions]
+        """Every stretch of the text whose words suffice for the coverage.
+
+        A window of one and a half templates slides over the text, and the template's
+        words in it are counted. Windows that suffice are merged where they meet.
+        Besides each merged stretch, the fullest windows of a long one are regions of
+        their own, so that words further off draw nothing away.
+        """
+        length, least = size + size // 2 + 2, self.least * size
+        have: Counter = Counter()
+        total, runs, full = 0, [], []
+        for i, w in enumerate(words):
+            if w in wanted:
+                have[w] += 1
+                total += have[w] <= wanted[w]
+            if i >= length and (gone := words[i - length]) in wanted:
+                total -= have[gone] <= wanted[gone]
+                have[gone] -= 1
+            if total >= least:
+                low = max(0, i + 1 - length)
+                if runs and low <= runs[-1][1]:
+                    runs[-1][1] = i + 1
+                else:
+                    runs.append([low, i + 1])
+                if full and i < full[-1][1] + size // 2:
+                    if total > full[-1][0]:
+                        full[-1] = (total, i)
+                else:
+                    full.append((total, i))
+        regions = {(max(0, low - size // 2), min(len(words), high + size // 2)) for low, high in runs}
+        regions |= {(max(0, i + 1 - length), i + 1) for _, i in full}
+        return sorted(regions)
 
 
 def scan_licenses(

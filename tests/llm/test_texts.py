@@ -123,6 +123,16 @@ def test_versions_without_a_template_give_no_row():
     assert names_in(licenses.TEMPLATES["Apache-2.0"][3].replace("2.0", "5.5")) == set()
 
 
+def test_notice_is_found_where_its_rarest_word_stands_elsewhere():
+    mit = licenses.TEMPLATES["MIT"][3]
+    filler = "the quick brown fox jumps over a lazy dog under the moon " * 100
+    assert names_in(mit.replace("NONINFRINGEMENT", "NON-INFRINGEMENT") + filler + "noninfringement") == {"MIT"}
+    apache = licenses.TEMPLATES["Apache-2.0"][3].replace(" and limitations", "")
+    assert names_in("limitations " + filler + apache) == {"Apache-2.0"}
+    isc = licenses.TEMPLATES["ISC"][1].replace("appear", "stand")
+    assert names_in("appear " + filler + isc + filler) == {"ISC"}
+
+
 def test_patience_aligns_equal_words_in_order():
     rng = random.Random(9)
     for _ in range(300):
