@@ -241,8 +241,9 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     Pages of a host stand in the order of their paths; each is laid beside the next
     before and after it, whichever shares more of the path, the one before if
     both do. Their lines are aligned by longest common subsequence of 64-bit
-    hashes. Pages that are equal throughout tell nothing about templates and aren't
-    aligned. Only hashes move, and a host of any size is dealt out by path.
+    hashes. Pages that are equal throughout tell nothing about templates: a run of them
+    counts as one page, laid beside the pages before and after the run, and all of them
+    get what it shares. Only hashes move, and a host of any size is dealt out by path.
     Pages without a shared line have no row.
     """
     parsed = written(_parsed(pages), "page-lines")
@@ -259,13 +260,15 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     beside = order.join(sides[0], ["host", "at"], "left").join(sides[1], ["host", "at"], "left")
 
     @F.pandas_udf("array<boolean>")
-    def shared(path: pd.Series, signs: pd.Series, before: pd.DataFrame, after: pd.DataFrame) -> pd.Series:
+    def shared(
+        first: pd.Series, last: pd.Series, signs: pd.Series, before: pd.DataFrame, after: pd.DataFrame
+    ) -> pd.Series:
         found = []
-        for i in range(len(path)):
+        for i in range(len(first)):
             own = list(signs.iloc[i])
             sides = [
                 (_common_parts(path.iloc[i], side["path"].iloc[i]), list(side["signs"].iloc[i]))
-                for side in (before, after)
+                for path, side in ((first, before), (last, after))
                 if side["signs"].iloc[i] is not None
             ]
             sides = [(near, other) for near, other in sides if other != own]
@@ -277,9 +280,42 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             found.append(lines.tolist() if lines.any() else [])
         return pd.Series(found)
 
-    return beside.select("page_key", shared("path", "signs", "before", "after").alias("shared")).where(
-        F.size("shared") > 0
+    # what is kept of a member of a run; at its ends also what stands beside it
+    goes_on = [F.coalesce(F.col(f"{side}.signs") == F.col("signs"), F.lit(False)) for side in ("before", "after")]
+    starts, ends = ~goes_on[0], ~goes_on[1]
+    run = F.struct(
+        "host", "at", "path", starts.alias("starts"), ends.alias("ends"),
+        F.when(starts, F.col("signs")).alias("signs"),
+        F.when(starts, F.col("before")).alias("before"), F.when(ends, F.col("after")).alias("after"),
+    )
+    found = written(
+        beside.select(
+            "page_key",
+            shared("path", "path", "signs", "before", "after").alias("shared"),
+            F.when(goes_on[0] | goes_on[1], run).alias("run"),
+        ),
+        "page-shared",
     )
+    lines = found.where("run is null").select("page_key", "shared")
+    runs = found.where("run is not null").select("page_key", "run.*")
+    if not runs.isEmpty():
+        first = F.col("starts").cast("int")
+        places = runs.select("page_key", "host", "at", "starts")
+        numbered = written(
+            running_totals(places, ["host"], ["at"], first, "n").select(
+                "page_key", "host", (F.col("n") + first).alias("n")
+            ),
+            "page-runs",
+        )
+        ends_of = runs.where("ends").select("page_key", F.col("path").alias("last"), "after")
+        whole = (
+            runs.where("starts").select("page_key", F.col("path").alias("first"), "signs", "before")
+            .join(numbered, "page_key").drop("page_key")
+            .join(ends_of.join(numbered, "page_key").drop("page_key"), ["host", "n"])
+            .select("host", "n", shared("first", "last", "signs", "before", "after").alias("shared"))
+        )
+        lines = lines.unionByName(numbered.join(whole, ["host", "n"]).select("page_key", "shared"))
+    return lines.where(F.size("shared") > 0)
 
 
 def _common_parts(a: str, b: str) -> float:

@@ -204,6 +204,19 @@ def test_nearest_page_decides_where_markup_does_not(spark):
     assert pages.main_text(table.limit(0)).count() == 0
 
 
+def test_runs_of_equal_pages_are_laid_beside_others(spark):
+    """Copies within a host, at its start and at its end get one text, without the template."""
+    page = "<div>Daily News of Town</div><p>{}</p><p>Write to the editor</p>"
+    stories = ["one"] * 3 + ["two", "four"] + ["three"] * 4 + ["five"] + ["six"] * 2
+    rows = [(n, f"http://h/{n:02d}", page.format(story)) for n, story in enumerate(stories)]
+    rows += [(50 + n, f"http://twins/{n}", page.format("alone")) for n in range(3)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["text"] for r in pages.main_text(table).collect()}
+    expected = dict(enumerate(stories))
+    expected |= dict.fromkeys((50, 51, 52), "Daily News of Town alone Write to the editor")
+    assert found == expected
+
+
 def test_page_query_against_plain_cut(spark):
     found = {r["page_id"]: r for r in entry.queries()["op4_html_text"](spark, SF_DIR).collect()}
     for page in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect():
