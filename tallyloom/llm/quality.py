@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from tallyloom.llm.storage import written
 from tallyloom.llm.text import words_of
 
-# Room for the place of a word within its text: 16 million words.
-_PLACE_BITS = 24
-
 
 def let(value: Column, body) -> Column:
     """`body` of a value that is computed once, also inside lambdas of the body."""
@@ -23,14 +20,12 @@ def let(value: Column, body) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that lie in a 3-word window found twice or more, the first included.
 
-    A text whose window hashes are all distinct has none. Otherwise a window is a
-    whole number, the top bits of its hash before its place: sorted, equal windows
-    are neighbours, and where hashes agree the words themselves are compared. A
-    repeated window covers its three words, less what the one before has covered
-    already. The work is that of a sort, also for a text that repeats itself
+    A text whose window hashes are all distinct has none. Otherwise a window is its
+    hash, its words and its place: sorted, equal windows are neighbours at any length
+    of text. A repeated window covers its three words, less what the one before has
+    covered already. The work is that of a sort, also for a text that repeats itself
     throughout.
     """
-    at_bits = F.lit((1 << _PLACE_BITS) - 1)
 
     def hashes(bound: Column) -> Column:
         return F.transform(
@@ -38,33 +33,29 @@ def repeated_words(words: Column) -> Column:
             lambda word, i: F.xxhash64(word, F.get(bound, i + 1), F.get(bound, i + 2)),
         )
 
-    def windows(hashed: Column) -> Column:
+    def windows(bound: Column, hashed: Column) -> Column:
         return F.transform(
             hashed,
-            lambda window, i: window.bitwiseAND(F.bitwise_not(at_bits.cast("bigint"))).bitwiseOR(
-                i.cast("bigint")
+            lambda window, i: F.struct(
+                window.alias("hash"),
+                *[F.get(bound, i + k).alias(f"word{k}") for k in range(3)],
+                i.alias("at"),
             ),
         )
 
-    def places_in(bound: Column):
-        def at(window: Column) -> Column:
-            return window.bitwiseAND(at_bits).cast("int")
-
+    def places_in(ordered: Column) -> Column:
         def same(x: Column, y: Column) -> Column:
-            equal = F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS)
+            equal = x["hash"] == y["hash"]
             for k in range(3):
-                equal = equal & (F.get(bound, at(x) + k) == F.get(bound, at(y) + k))
+                equal = equal & (x[f"word{k}"] == y[f"word{k}"])
             return equal
 
-        def repeated(ordered: Column) -> Column:
-            pairs = F.zip_with(
-                F.slice(ordered, 1, F.greatest(F.size(ordered) - 1, F.lit(0))),
-                F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0))),
-                lambda x, y: F.when(same(x, y), F.array(at(x), at(y))),
-            )
-            return F.sort_array(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull())))
-
-        return repeated
+        pairs = F.zip_with(
+            F.slice(ordered, 1, F.greatest(F.size(ordered) - 1, F.lit(0))),
+            F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0))),
+            lambda x, y: F.when(same(x, y), F.array(x["at"], y["at"])),
+        )
+        return F.sort_array(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull())))
 
     def covered(places: Column) -> Column:
         return F.aggregate(
@@ -79,7 +70,7 @@ def repeated_words(words: Column) -> Column:
     def counted(bound: Column):
         return lambda hashed: F.when(
             F.size(F.array_distinct(hashed)) == F.size(hashed), F.lit(0)
-        ).otherwise(let(let(F.sort_array(windows(hashed)), places_in(bound)), covered))
+        ).otherwise(let(let(F.sort_array(windows(bound, hashed)), places_in), covered))
 
     return let(words, lambda bound: let(hashes(bound), counted(bound))).cast("bigint")
 

@@ -48,6 +48,13 @@ def test_repeated_words_against_brute_force(spark, documents):
         assert found[n]["n_repeat_words"] == repeated(text or ""), text
 
 
+def test_repeats_around_a_window_of_like_hash(spark, documents):
+    """Two windows whose hashes agree in 40 bits, one of them between the other two."""
+    text = "a pq w596219 x1 x2 a pq w1768101 x3 x4 a pq w596219"
+    found = quality.report(documents((1, text), (2, text + " " + text))).collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in found} == {1: 6, 2: repeated(text + " " + text)}
+
+
 def test_quality_cases(spark, documents):
     clean = " ".join(f"word{i}" for i in range(60))
     rows = [
