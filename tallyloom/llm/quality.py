@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tallyloom.llm.storage import written
 from tallyloom.llm.text import words_of
 
+# Words over which the pipeline's variety rule counts distinct ones.
+VARIETY_WORDS = 1000
+
 
 def let(value: Column, body) -> Column:
     """`body` of a value that is computed once, also inside lambdas of the body."""
@@ -160,9 +163,27 @@ def first_failure(rules: Mapping[str, Column], order: list[str]) -> Column:
     return verdict
 
 
+def little_variety(words: Column, length: int = VARIETY_WORDS) -> Column:
+    """Whether fewer than one word in twenty is new within its stretch of `length` words.
+
+    The share of distinct words falls with the length of any text; over stretches it
+    doesn't, so that length alone rejects nothing.
+    """
+    last = F.floor(F.greatest(F.size(words) - 1, F.lit(0)) / length).cast("int")
+    distinct = F.aggregate(
+        F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.size(F.array_distinct(F.slice(words, i * length + 1, length))),
+        ),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    return 20 * distinct.cast("bigint") < F.size(words)
+
+
 def _all_rules(text: Column, words: Column) -> dict[str, Column]:
     m = measures(text, words)
-    return base_rules(m) | further_rules(m, text, words)
+    return base_rules(m) | further_rules(m, text, words) | {"variety": little_variety(words)}
 
 
 def _further_rules(text: Column, words: Column) -> dict[str, Column]:
@@ -172,8 +193,8 @@ def _further_rules(text: Column, words: Column) -> dict[str, Column]:
 def passing(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     """The documents that no rule, base or further, rejects. Columns as they came.
 
-    The base rules take their place in the cascade like the others. A null text
-    counts as empty and is rejected; an empty table stays empty.
+    The base rules take their place in the cascade like the others; variety is judged
+    over stretches of a text, see `little_variety`. A null text counts as empty and is rejected; an empty table stays empty.
     """
     order = cascade_order(docs, _all_rules, sample_rows)
     text = F.coalesce("text", F.lit(""))

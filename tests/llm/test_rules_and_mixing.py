@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tallyloom.llm import mixing, quality, ranks, sharding
@@ -55,6 +56,17 @@ def test_repeats_around_a_window_of_like_hash(spark, documents):
     assert {r["doc_id"]: r["n_repeat_words"] for r in found} == {1: 6, 2: repeated(text + " " + text)}
 
 
+def test_length_alone_rejects_nothing(spark, documents):
+    rng = random.Random(3)
+    long = " ".join(f"word{rng.randrange(1000)}" for _ in range(30_000))
+    dull = " ".join(f"word{rng.randrange(30)}" for _ in range(30_000))
+    docs = documents((1, long), (2, dull), (3, ""), (4, " ".join(f"word{i}" for i in range(1001))))
+    assert {r["doc_id"] for r in quality.passing(docs).collect()} == {1, 4}
+    words = F.split("text", " ")
+    judged = docs.select("doc_id", quality.little_variety(words).alias("x")).collect()
+    assert {r["doc_id"]: r["x"] for r in judged} == {1: False, 2: True, 3: False, 4: False}
+
+
 def test_quality_cases(spark, documents):
     clean = " ".join(f"word{i}" for i in range(60))
     rows = [
