@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontamination, mixing, quality, sharding, similar
+from tallyloom.llm import decontamination, mixing, quality, sharding, simhash
 from tallyloom.llm.storage import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,11 +18,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that of the least doc_id.
+    """One document of each SimHash group stays, that of the least doc_id.
 
-    Near means a Jaccard similarity of 0.8 or more over shingles of five words.
+    Fingerprints over four-word shingles link at 4 or fewer differing bits.
     """
-    return similar.without_near_duplicates(docs)
+    return simhash.without_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +42,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", keep_quality),
-    ("near-duplicates", drop_near_duplicates),
+    ("SimHash near-dedup", drop_near_duplicates),
     ("decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]
 
-# Shingle similarity and edit matching are beyond SQL; the tests hold run() against a
+# Fingerprint groups and edit matching are beyond SQL; the tests hold run() against a
 # brute-force version.
 ORACLE_SQL = None
 
