@@ -71,7 +71,8 @@ def plan_mix(
 ) -> DataFrame:
     """Per document: doc_id, row_key, size, source_size, target and copies.
 
-    Each source's documents stand in the order of size, then pseudo-random. Their
+    Each source's documents stand in the order of size, then pseudo-random, rows of one
+    id by their values; rows that tie throughout are equal, so reruns agree. Their
     expected copies, target over source size, are summed from the front; one
     random offset for each source is added, and a document is emitted once for
     each whole number that its stretch crosses. As the order goes by size, the
@@ -88,6 +89,7 @@ def plan_mix(
             row_key(docs).alias("row_key"),
             word_count(F.col("text")).alias("size"),
             seeded(seed, F.col("doc_id")).alias("place"),
+            F.monotonically_increasing_id().alias("row_no"),
         ),
         "mix-sizes",
     )
@@ -100,7 +102,7 @@ def plan_mix(
     summed = running_totals(
         rated,
         ["source_key"],
-        ["size", "place", "doc_id"],
+        ["size", "place", "doc_id", "row_key", "row_no"],
         F.col("units").cast("decimal(38,0)"),
         "front",
     )

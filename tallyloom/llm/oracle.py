@@ -37,7 +37,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     OR 10 * n_dup_lines > 3 * len(lines)
     OR 2 * (length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g'))) > word_chars
     OR 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < 6 * n_words
-    OR 20 * len(list_distinct(words)) < n_words
+    OR 20 * list_sum(list_transform(
+      range(0, greatest(len(words) - 1, 0) // 1000 + 1),
+      lambda i: len(list_distinct(words[i * 1000 + 1 : i * 1000 + 1000]))
+    )) < n_words
   ) AS kept
 FROM m
 """

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.storage import written
 from tallyloom.llm.text import words_of
 
-# Words over which the pipeline's variety rule counts distinct ones.
+# Words over which the variety rule counts distinct ones.
 VARIETY_WORDS = 1000
 
 
@@ -123,8 +123,8 @@ def further_rules(m: Mapping[str, Column], text: Column, words: Column) -> dict[
         # fewer than six words in ten have a letter
         "letters": 10 * F.size(F.filter(words, lambda word: word.rlike(r"\p{L}")))
         < 6 * m["n_words"],
-        # fewer than one word in twenty is new
-        "variety": 20 * F.size(F.array_distinct(words)) < m["n_words"],
+        # fewer than one word in twenty is new, stretch by stretch
+        "variety": little_variety(words),
     }
 
 
@@ -183,7 +183,7 @@ def little_variety(words: Column, length: int = VARIETY_WORDS) -> Column:
 
 def _all_rules(text: Column, words: Column) -> dict[str, Column]:
     m = measures(text, words)
-    return base_rules(m) | further_rules(m, text, words) | {"variety": little_variety(words)}
+    return base_rules(m) | further_rules(m, text, words)
 
 
 def _further_rules(text: Column, words: Column) -> dict[str, Column]:
@@ -193,8 +193,8 @@ def _further_rules(text: Column, words: Column) -> dict[str, Column]:
 def passing(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     """The documents that no rule, base or further, rejects. Columns as they came.
 
-    The base rules take their place in the cascade like the others; variety is judged
-    over stretches of a text, see `little_variety`. A null text counts as empty and is rejected; an empty table stays empty.
+    The base rules take their place in the cascade like the others. A null text counts as
+    empty and is rejected; an empty table stays empty.
     """
     order = cascade_order(docs, _all_rules, sample_rows)
     text = F.coalesce("text", F.lit(""))

@@ -18,17 +18,17 @@ def running_totals(
     The rows are range-partitioned by group and order, so that a large group lies
     in many neighbouring partitions. Each partition is summed by itself; the sums
     of the partitions before it, a row for each partition and group, give the
-    offset. Rows that tie in `order` get their places in no stated order; a
-    random last key lets even a group of equal rows be spread. The columns of
-    `group` must not be null.
+    offset. `order` must tell all rows of a group apart by values that are stored or
+    follow from the row, such as `row_key` and a row number from a written table:
+    then places don't depend on how rows arrive, a task that runs again deals them
+    alike, and even a group of equal rows is spread. The columns of `group` must not
+    be null.
     """
     group, order = list(group), list(order)
     dealt = written(
         rows.withColumn("_value", value)
-        .withColumn("_tie", F.rand(11))
-        .repartitionByRange(*group, *order, "_tie")
-        .withColumn("_part", F.spark_partition_id())
-        .drop("_tie"),
+        .repartitionByRange(*group, *order)
+        .withColumn("_part", F.spark_partition_id()),
         "ranges",
     )
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -21,8 +21,8 @@ def assign_shards(docs: DataFrame, shards: int = 8, seed: int = 10) -> DataFrame
 
     `size` is the number of UTF-8 bytes of the text (0 for null) plus 1;
     `text_crc32` of a null text is that of an empty one. A null source is a source
-    of its own, null ids share one place in the shuffle, repeated rows are
-    separate rows. Equal texts are spread like any others, since a group of
+    of its own, null ids share one place in the shuffle and go by their rows' values,
+    repeated rows are separate rows; reruns agree. Equal texts are spread like any others, since a group of
     copies may be larger than a shard.
     """
     light = written(
@@ -33,6 +33,7 @@ def assign_shards(docs: DataFrame, shards: int = 8, seed: int = 10) -> DataFrame
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
             F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))).alias("text_crc32"),
             seeded(seed, F.col("doc_id")).alias("place"),
+            F.monotonically_increasing_id().alias("row_no"),
         ),
         "shard-rows",
     )
@@ -41,13 +42,12 @@ def assign_shards(docs: DataFrame, shards: int = 8, seed: int = 10) -> DataFrame
         .agg(F.count("*").alias("in_source"))
         .withColumn("in_all", F.sum("in_source").over(Window.partitionBy()))
     )
-    ranked = running_totals(light, ["source_key"], ["place", "doc_id"], F.lit(1), "rank")
+    tie = ["place", "doc_id", "row_key", "row_no"]
+    ranked = running_totals(light, ["source_key"], tie, F.lit(1), "rank")
     fractional = ranked.join(counts, "source_key").withColumn(
         "fraction", (2 * F.col("rank") + 1) / (2 * F.col("in_source"))
     )
-    placed = running_totals(
-        fractional, [], ["fraction", "source_key", "place", "doc_id"], F.lit(1), "at"
-    )
+    placed = running_totals(fractional, [], ["fraction", "source_key", *tie], F.lit(1), "at")
     shard = F.expr(f"at * {shards} div in_all")
     return placed.withColumn("shard", shard).select(
         "doc_id",

@@ -43,9 +43,14 @@ def seeded(seed: int, column: Column) -> Column:
 
 
 def row_key(rows: DataFrame) -> Column:
-    """64 bits that stand for a whole row."""
-    columns = [F.col(f"`{name}`") for name in rows.columns]
-    return F.xxhash64(*[part for c in columns for part in (c.isNull(), c)])
+    """128 bits that stand for a whole row, never null; maps count by their entries as they stand."""
+    parts = []
+    for field in rows.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if "map<" in field.dataType.simpleString():
+            c = F.to_json(F.struct(c.alias("x")))
+        parts += [c.isNull(), c]
+    return F.struct(F.xxhash64(*parts).alias("high"), F.xxhash64(F.lit("low"), *parts).alias("low"))
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import zlib
@@ -62,6 +63,7 @@ def test_length_alone_rejects_nothing(spark, documents):
     dull = " ".join(f"word{rng.randrange(30)}" for _ in range(30_000))
     docs = documents((1, long), (2, dull), (3, ""), (4, " ".join(f"word{i}" for i in range(1001))))
     assert {r["doc_id"] for r in quality.passing(docs).collect()} == {1, 4}
+    assert {r["doc_id"] for r in quality.report(docs).collect() if r["kept"]} == {1, 4}
     words = F.split("text", " ")
     judged = docs.select("doc_id", quality.little_variety(words).alias("x")).collect()
     assert {r["doc_id"]: r["x"] for r in judged} == {1: False, 2: True, 3: False, 4: False}
@@ -148,6 +150,23 @@ def test_mix_targets_and_copies(spark, documents):
     assert sorted(map(str, again)) == sorted(map(str, found))
 
 
+@pytest.mark.parametrize("plan, column", [(mixing.plan_mix, "copies"), (sharding.assign_shards, "shard")])
+def test_reruns_agree_where_ids_tie(spark, documents, plan, column):
+    """Null and repeated ids with different texts, read in 3 and in 7 partitions."""
+    docs = documents(*((i % 40 if i % 2 else None, f"w {i} " * (i % 5), "abc"[i % 3]) for i in range(600)))
+    found = [
+        sorted((r["row_key"], r[column]) for r in plan(docs.repartition(n, "text")).collect()) for n in (3, 7)
+    ]
+    assert found[0] == found[1]
+
+
+def test_rows_with_maps(spark):
+    rows = [(1, "a b", "s", {"x": 1}), (1, "a b", "s", {"x": 2}), (2, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, tags map<string,int>")
+    assert sharding.shard_documents(docs, shards=2).count() == 3
+    assert mixing.mix(docs).columns == docs.columns
+
+
 def test_mixed_rows(spark, documents):
     docs = documents(*((i % 4, "a b", "s", i // 4) for i in range(12)), extra=", copies int")
     assert mixing.mix(docs).columns == docs.columns
@@ -180,6 +199,25 @@ def test_shards(spark, documents):
     assert sharding.assign_shards(docs.limit(0)).count() == 0
 
 
+def test_shard_query_against_brute_force(spark):
+    """Ranks within sources, fractional ranks and the cut, redone in plain Python."""
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    order, per_source = [], Counter(r["source"] for r in rows)
+    for source in per_source:
+        own = sorted(
+            (hashlib.md5(f"10:{r['doc_id']}".encode()).hexdigest(), r["doc_id"])
+            for r in rows if r["source"] == source
+        )
+        order += [((2 * n + 1) / (2 * len(own)), "0" + source, *x) for n, x in enumerate(own)]
+    expected, slots = {}, Counter()
+    for at, (*_, doc_id) in enumerate(sorted(order)):
+        shard = at * 8 // len(order)
+        expected[doc_id] = (shard, slots[shard])
+        slots[shard] += 1
+    found = entry.queries()["op10_sharding"](spark, SF_DIR).collect()
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in found} == expected and len(found) == len(rows)
+
+
 def test_written_shards(spark, documents, tmp_path):
     docs = documents(*((i, f"t{i}", "s") for i in range(40)))
     sharding.write_shards(sharding.shard_documents(docs), str(tmp_path / "out"), 2)

@@ -291,7 +291,7 @@ def test_pipeline_against_brute_force(spark):
     rows = {r["doc_id"]: r for r in docs.collect()}
     good = {r["doc_id"] for r in quality.report(docs).collect() if r["kept"]}
     parts = slow_components([(i, slow_fingerprint(rows[i]["text"])) for i in good])
-    first = {c for c in parts.values()}
+    first = set(parts.values())
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
     search = decontamination.Items([(r["item_id"], r["text"]) for r in items], decontamination.ERROR_RATE)
     clean = sorted(i for i in first if not search.matches(rows[i]["text"]))
