@@ -117,8 +117,46 @@ SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIG
 FROM d LEFT JOIN kept USING (row_id)
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sizes AS (
+  SELECT row_id, doc_id, len(terms)::BIGINT AS n FROM d
+), whole AS (
+  SELECT count(*) FILTER (n > 0) AS documents, sum(n)::BIGINT AS length FROM sizes
+), item_terms AS (
+  SELECT item_no, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS item_no, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+  ) GROUP BY ALL
+), counts AS (
+  SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), whole
+), scored AS (
+  SELECT item_no, item_id, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * documents) // length))))::BIGINT
+      AS score
+  FROM item_terms JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (row_id), whole
+  GROUP BY item_no, item_id, row_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank,
+    doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": OP3,
     "op5_mixing": OP5,
     "op7_line_dedup": OP7,
+    "op11_lexical_search": OP11,
 }

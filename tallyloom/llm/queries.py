@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import (
     chat,
     decontamination,
+    lexical,
     licenses,
     line_dedup,
     mixing,
@@ -94,6 +95,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -107,5 +112,6 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_chat_format,
         op10_sharding,
+        op11_lexical_search,
     )
 }
