@@ -11,6 +11,7 @@ from tallyloom.llm import (
     alignment,
     chat,
     decontamination,
+    language,
     lexical,
     licenses,
     line_dedup,
@@ -100,6 +101,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.score(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(table(spark, sf_dir, "documents"))
 
@@ -118,6 +123,7 @@ QUERIES: dict[str, Query] = {
         op9_chat_format,
         op10_sharding,
         op11_lexical_search,
+        op12_suffix_tree,
         op13_token_alignment,
     )
 }
