@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import all_quoted, quoted
@@ -121,18 +121,23 @@ def sample_rows(df: DataFrame, condition: Column, order: Sequence[str], count: i
 def sign_samples(
     df: DataFrame, measures: Sequence[str], order: Sequence[str], count: int = 5
 ) -> DataFrame:
-    """`count` rows below and above 0 for each measure, with MEASURE and SIGN before them."""
-    return union_all(
-        [
-            sample_rows(df, condition, order, count).select(
-                F.lit(measure).alias("MEASURE"), F.lit(sign).alias("SIGN"), *all_quoted(df.columns)
-            )
-            for measure in measures
-            for sign, condition in (
-                ("NEGATIVE", F.col(quoted(measure)) < 0),
-                ("POSITIVE", F.col(quoted(measure)) > 0),
-            )
-        ]
+    """`count` rows below and above 0 for each measure, with MEASURE and SIGN before them.
+
+    One pass: a row stands once for each measure in which it isn't 0, and ranks are
+    limited in each task before anything moves.
+    """
+    signs = []
+    for measure in measures:
+        value = F.col(quoted(measure))
+        sign = F.when(value < 0, F.lit("NEGATIVE")).when(value > 0, F.lit("POSITIVE"))
+        signs.append(F.struct(F.lit(measure).alias("MEASURE"), sign.alias("SIGN")))
+    classes = F.filter(F.array(*signs), lambda x: x["SIGN"].isNotNull())
+    first = Window.partitionBy("MEASURE", "SIGN").orderBy(*(F.col(quoted(name)) for name in order))
+    return (
+        df.select(F.inline(classes), *all_quoted(df.columns))
+        .withColumn("_rank", F.row_number().over(first))
+        .filter(F.col("_rank") <= count)
+        .drop("_rank")
     )
 
 

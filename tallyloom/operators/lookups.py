@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from operator import add, and_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,9 @@ from tallyloom.functions.names import all_quoted, quoted
 
 # A lookup up to this many bytes is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# As many keys at most become a condition on a scan.
+FEW_KEYS = 100
+
 
 def first_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: that with the fewest nulls, then the smallest, nulls last.
@@ -160,6 +163,25 @@ def restrict_to(df: DataFrame, keys_from: DataFrame, keys: Sequence[str]) -> Dat
     return df.join(wanted, list(keys), "left_semi")
 
 
+def restrict_to_few(
+    df: DataFrame, keys_from: DataFrame, key: str, most: int = FEW_KEYS
+) -> DataFrame:
+    """Like `restrict_to` by one column, for a few keys against a huge stored relation.
+
+    Up to `most` keys become a condition on the scan of `df`, which passes over row groups
+    that have none of them: by their bounds if the relation is in the order of the column,
+    and by their Bloom filters. More keys are joined. `keys_from` should be cheap, since it
+    runs here.
+    """
+    wanted = keys_from.select(F.col(quoted(key))).filter(F.col(quoted(key)).isNotNull()).distinct()
+    found = [row[0] for row in wanted.limit(most + 1).collect()]
+    if len(found) > most:
+        return restrict_to(df, keys_from, [key])
+    # in tens, of which each is looked for by itself; a longer list only gives bounds
+    tens = [F.col(quoted(key)).isin(found[at : at + 10]) for at in range(0, len(found), 10)]
+    return df.filter(reduce(or_, tens, F.lit(False)))
+
+
 def missing_from(df: DataFrame, table: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Rows per key of `df` that `table` does not know, including null keys.
 

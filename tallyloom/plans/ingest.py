@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import all_quoted, quoted
@@ -102,10 +102,11 @@ def unmapped_accounts(raw: DataFrame, categories: DataFrame) -> DataFrame:
     return missing_from(rows, known, {name: name for name in ACCOUNT_PAIR})
 
 
-def ingest_checks(rows: DataFrame) -> DataFrame:
+def ingest_checks(rows: DataFrame, set_aside: DataFrame | None = None) -> DataFrame:
     """What grouping does to cleaned rows, from a single pass over them.
 
-    `rows` comes from `clean_rows`. Dropped rows are those without a full key.
+    `rows` comes from `clean_rows`. Dropped rows are those without a full key. Lines that
+    the reader set aside are counted as well, if they are given.
     """
     complete = F.lit(True)
     for key in KEYS:
@@ -121,7 +122,12 @@ def ingest_checks(rows: DataFrame) -> DataFrame:
         "DROPPED_AMOUNT": F.coalesce(F.sum(F.when(~complete, amount)), nothing),
         "INVALID_ISBN_ROWS": F.count_if(is_invalid_isbn(F.col("ISBN"))),
     }
-    wide = rows.agg(
-        *(column.cast("decimal(38,4)").alias(name) for name, column in checks.items())
-    )
-    return wide.unpivot([], list(checks), "CHECK_NAME", "VALUE")
+
+    def tall(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+        wide = df.agg(*(c.cast("decimal(38,4)").alias(name) for name, c in columns.items()))
+        return wide.unpivot([], list(columns), "CHECK_NAME", "VALUE")
+
+    found = tall(rows, checks)
+    if set_aside is not None:
+        found = found.unionByName(tall(set_aside, {"UNREADABLE_LINES": F.count(F.lit(1))}))
+    return found

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.names import all_quoted, quoted
 from tallyloom.functions.numbers import or_zero, percent, whole
@@ -23,20 +24,28 @@ from tallyloom.operators.matrix import (
 )
 from tallyloom.operators.targets import flag_shared, scale_targets, usable_targets, with_mark
 from tallyloom.periods import month_label, trailing_months
+from tallyloom.plans.monthly import SIZE, WHOLE
 from tallyloom.sources.schemas import SALES_A, SALES_S
 
 # Channels are numbers, which a hash aggregation can take the smallest of.
 CHANNEL_A, CHANNEL_S = 1, 2
-# Absolute amounts are what a target is scaled from; see `scale_targets`.
-SIZE = "SIZE"
 
 
 def facts_of(sales_a: DataFrame, sales_s: DataFrame) -> DataFrame:
-    """Both channels by account, with amounts cut to whole currency units."""
+    """Both channels by account, with amounts cut to whole currency units.
 
-    def channel(df: DataFrame, number: int, account: str) -> DataFrame:
-        amount = whole(F.col("NETAMT"))
-        return df.select(
+    Amounts are cut sale by sale; monthly sums bring theirs along. A target is scaled from
+    absolute amounts, see `scale_targets`.
+    """
+
+    def channel(df: DataFrame, schema: T.StructType, number: int, account: str) -> DataFrame:
+        if WHOLE in df.columns:
+            amount, size = F.col(WHOLE), F.col(SIZE)
+            schema = T.StructType([*schema.fields, df.schema[WHOLE], df.schema[SIZE]])
+        else:
+            amount = whole(F.col("NETAMT"))
+            size = F.abs(amount)
+        return conform(df, schema).select(
             F.lit(number).alias("CHANNEL"),
             F.col(account).alias("ACCOUNT"),
             "NAMECUST",
@@ -44,13 +53,13 @@ def facts_of(sales_a: DataFrame, sales_s: DataFrame) -> DataFrame:
             "YEAR",
             "MONTH",
             amount.alias("NETAMT"),
-            F.abs(amount).alias(SIZE),
+            size.alias(SIZE),
         )
 
     return union_all(
         [
-            channel(conform(sales_a, SALES_A), CHANNEL_A, "HQ_NUMBER"),
-            channel(conform(sales_s, SALES_S), CHANNEL_S, "ACCOUNT_ID"),
+            channel(sales_a, SALES_A, CHANNEL_A, "HQ_NUMBER"),
+            channel(sales_s, SALES_S, CHANNEL_S, "ACCOUNT_ID"),
         ]
     )
 

@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.names import all_quoted, quoted
 from tallyloom.functions.text import strip
+from tallyloom.sources.sinks import written
+
+# Column that holds a line with the wrong number of fields while it is read.
+BROKEN = "_broken_line"
 
 
 def read_table(
@@ -52,19 +56,69 @@ def _with_header(spark: SparkSession, path: str, options: Mapping[str, str]) ->
 
 
 def _named(
-    raw: DataFrame, path: str, schema: T.StructType, optional: Collection[str] = ()
+    raw: DataFrame,
+    path: str,
+    schema: T.StructType,
+    optional: Collection[str] = (),
+    *,
+    clean: bool = False,
 ) -> list[Column]:
+    """The columns of `schema`; with `clean`, a value that doesn't fit is null."""
     absent = [name for name in schema.names if name not in raw.columns]
     if needed := sorted(set(absent) - set(optional)):
         raise ValueError(f"{path} has no column {', '.join(needed)}")
+    given = {f.name: F.lit(None) if f.name in absent else F.col(quoted(f.name)) for f in schema.fields}
     return [
-        (F.lit(None) if f.name in absent else F.col(quoted(f.name)))
-        .cast(f.dataType)
-        .alias(f.name)
+        (given[f.name].try_cast(f.dataType) if clean else given[f.name].cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ]
 
 
+def read_or_set_aside(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    optional: Collection[str] = (),
+    **options: str,
+) -> tuple[DataFrame, DataFrame]:
+    """`read_by_name` for a file with unreadable lines: the rows, and the lines set aside.
+
+    A line is set aside if it has more or fewer fields than the header or a value that its
+    column's type can't take: FILE, LINE as it stands (put together from its fields again
+    if only a value is wrong) and REASON, which names the first such column. The file is
+    scanned once; what is read is stored, and both results come from there.
+    """
+    names = _with_header(spark, path, options).columns
+    whole = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField(BROKEN, T.StringType())])
+    settings = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, **options}
+    raw = spark.read.schema(whole).options(**settings).csv(path)
+    columns = _named(raw, path, schema, optional, clean=True)
+    reasons = [F.when(F.col(BROKEN).isNotNull(), F.lit("number of fields"))]
+    for field in schema.fields:
+        if field.name in names and not isinstance(field.dataType, T.StringType):
+            given = F.col(quoted(field.name))
+            reasons.append(
+                F.when(given.isNotNull() & given.try_cast(field.dataType).isNull(), F.lit(field.name))
+            )
+    # all fields are asked for, since a line is only checked as far as it is read
+    line = F.coalesce(F.col(BROKEN), F.to_csv(F.struct(*all_quoted(names))))
+    reason = F.coalesce(*reasons)
+    read = written(
+        raw.select(
+            F.struct(*columns).alias("row"),
+            reason.alias("REASON"),
+            F.when(reason.isNotNull(), line).alias("LINE"),
+            F.octet_length(line).alias("_size"),
+            F.when(reason.isNotNull(), F.col("_metadata.file_path")).alias("FILE"),
+        ),
+        "read",
+    )
+    return (
+        read.filter("REASON IS NULL").select("row.*"),
+        read.filter("REASON IS NOT NULL").select("FILE", "LINE", "REASON"),
+    )
+
+
 def read_block(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """A reference map: the rows above the first blank in the first column.
 

@@ -1,33 +1,41 @@
-"""Writes. A report is replaced as a whole, a monthly load by its own name."""
+"""Writes: reports and maps, each replaced as a whole, and intermediates."""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
+from decimal import Decimal
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
-from tallyloom.functions.names import all_quoted
-from tallyloom.sources.schemas import STORED_SALES
+from tallyloom.operators.checks import observe_totals
+from tallyloom.sources.published import publish
 from tallyloom.sources.session import shared_folder
 
-# Column that tells loads apart; also the outermost directory of the fact.
-LOAD = "LOAD"
-HISTORY = "history"
+
+class Stored(NamedTuple):
+    """Where a table was written, and what the write saw: N_ROWS and sums of columns."""
+
+    path: str
+    totals: dict[str, Decimal | int]
 
 
 def replace_table(df: DataFrame, path: str) -> str:
-    """Overwrite a stored relation. `df` must not read from `path`."""
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Replace a stored relation; returns the folder of what was written."""
+    return publish(df, path)
+
+
+def replace_with_totals(df: DataFrame, path: str, columns: Sequence[str]) -> Stored:
+    """Replace a stored relation; the write itself counts its rows and adds up `columns`."""
+    watched, seen = observe_totals(df, f"totals of {path}", columns)
+    return Stored(publish(watched, path), dict(seen.get))
 
 
 def replace_if_any(df: DataFrame, path: str) -> bool:
-    """Overwrite a reference map unless the new one is empty."""
+    """Replace a reference map unless the new one is empty."""
     if df.isEmpty():
         return False
-    replace_table(df, path)
+    publish(df, path)
     return True
 
 
@@ -44,45 +52,3 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def _by_month(df: DataFrame) -> DataFrame:
-    """Gather each month's rows into few files of even size.
-
-    Rebalancing lets the runtime split a busy month over many tasks and put
-    quiet months together, instead of one file per month and task.
-    """
-    return df.hint("rebalance", "YEAR", "MONTH")
-
-
-def write_load(df: DataFrame, path: str, load: str) -> str:
-    """Add a load to the stored fact, or replace it if it was written before.
-
-    The load has a directory of its own, so a rerun replaces exactly what the
-    earlier run wrote: rows of the same months from other loads (late
-    corrections, history) stay, and months a corrected file no longer has go.
-    """
-    if not re.fullmatch(r"[A-Za-z0-9_-]+", load):
-        raise ValueError(f"a load name has letters, digits, - and _ only: {load!r}")
-    target = f"{path.rstrip('/')}/{LOAD}={load}"
-    _by_month(df).write.mode("overwrite").partitionBy("YEAR", "MONTH").parquet(target)
-    return target
-
-
-def replace_history(df: DataFrame, path: str) -> str:
-    """Replace the whole stored fact, all loads, by one history load."""
-    (
-        _by_month(df)
-        .withColumn(LOAD, F.lit(HISTORY))
-        .write.mode("overwrite")
-        .partitionBy(LOAD, "YEAR", "MONTH")
-        .parquet(path)
-    )
-    return path
-
-
-def read_loads(spark: SparkSession, path: str) -> DataFrame:
-    """The stored fact over all loads; YEAR and MONTH filters prune directories."""
-    schema = T.StructType([*STORED_SALES.fields, T.StructField(LOAD, T.StringType())])
-    df = spark.read.schema(schema).option("basePath", path).parquet(path)
-    return df.select(*all_quoted(STORED_SALES.names))

@@ -15,7 +15,8 @@ SF_DIR = "/root/testdata/sf0.001"
 WRITERS = {
     "ingest_file", "ingest_file_by_name", "ingest_rerun_safe", "history_file", "backorder_file",
     "target_file", "daily_refresh", "daily_combined", "daily_targets", "reference_map",
-    "name_map_file", "stored_distributor", "stored_titles",
+    "name_map_file", "stored_distributor", "stored_titles", "loads_combined", "loads_replayed",
+    "loads_repeated", "published_version", "ingest_unreadable", "unreadable_lines",
 }
 
 

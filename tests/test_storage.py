@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.sources import readers, schemas, session, sinks
+from tallyloom.sources import loads, published, readers, schemas, session, sinks
 from workload import relations as rel
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,29 +25,29 @@ def month(spark):
 
 def units(spark, path):
     return {(r["YEAR"], r["MONTH"]): r["NETUNITS"] for r in
-            sinks.read_loads(spark, path).groupBy("YEAR", "MONTH")
+            loads.read_loads(spark, path).groupBy("YEAR", "MONTH")
             .agg(F.sum("NETUNITS").alias("NETUNITS")).collect()}
 
 
 def test_rerun_replaces_only_its_own_load(spark, month, tmp_path):
     path = str(tmp_path / "fact")
-    sinks.replace_history(month(("1", 2001, 5, 10), ("2", 2001, 6, 20)), path)
+    loads.replace_history(month(("1", 2001, 5, 10), ("2", 2001, 6, 20)), path)
     july = month(("1", 2001, 7, 7), ("9", 2001, 6, 1))
     for _ in range(2):
-        sinks.write_load(july, path, "2001-07")
+        loads.write_load(july, path, "2001-07")
         assert units(spark, path) == {(2001, 5): 10, (2001, 6): 21, (2001, 7): 7}
-    sinks.write_load(month(("1", 2001, 7, 8)), path, "2001-07")
+    loads.write_load(month(("1", 2001, 7, 8)), path, "2001-07")
     assert units(spark, path) == {(2001, 5): 10, (2001, 6): 20, (2001, 7): 8}
-    sinks.replace_history(month(("1", 2001, 5, 1)), path)
+    loads.replace_history(month(("1", 2001, 5, 1)), path)
     assert units(spark, path) == {(2001, 5): 1}
     with pytest.raises(ValueError):
-        sinks.write_load(july, path, "../x")
+        loads.write_load(july, path, "../x")
 
 
 def test_period_filter_prunes_directories(spark, month, tmp_path):
     path = str(tmp_path / "fact")
-    sinks.replace_history(month(*((str(m), 2001, m, 1) for m in range(1, 13))), path)
-    pruned = sinks.read_loads(spark, path).filter("YEAR = 2001 and YEAR * 100 + MONTH <= 200103")
+    loads.replace_history(month(*((str(m), 2001, m, 1) for m in range(1, 13))), path)
+    pruned = loads.read_loads(spark, path).filter("YEAR = 2001 and YEAR * 100 + MONTH <= 200103")
     assert pruned.select("ISBN").distinct().count() == 3
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     (filters,) = re.findall(r"PartitionFilters: \[(.*)\], PushedFilters", plan)
@@ -57,8 +57,8 @@ def test_period_filter_prunes_directories(spark, month, tmp_path):
 def test_rows_of_a_month_go_to_few_files(spark, tmp_path):
     path = str(tmp_path / "fact")
     stored = rel.stored_sales_a(spark, SF_DIR).select(*schemas.STORED_SALES.names)
-    sinks.replace_history(stored.repartition(8), path)
-    files = sinks.read_loads(spark, path).select(F.input_file_name().alias("f"), "YEAR", "MONTH")
+    loads.replace_history(stored.repartition(8), path)
+    files = loads.read_loads(spark, path).select(F.input_file_name().alias("f"), "YEAR", "MONTH")
     per_month = files.groupBy("YEAR", "MONTH").agg(F.count_distinct("f").alias("n"))
     assert per_month.agg(F.max("n")).first()[0] <= 2
 
@@ -68,7 +68,7 @@ def test_empty_map_does_not_replace(spark, tmp_path):
     full = spark.createDataFrame([("a", "b")], schemas.NAME_MAP)
     assert sinks.replace_if_any(full, path)
     assert not sinks.replace_if_any(full.limit(0), path)
-    assert readers.read_table(spark, path, schemas.NAME_MAP).count() == 1
+    assert published.read_published(spark, path, schemas.NAME_MAP).count() == 1
 
 
 def test_block_ends_at_first_blank(spark, tmp_path):

@@ -12,8 +12,8 @@ from tallyloom.functions.numbers import percent
 from tallyloom.functions.text import is_invalid_isbn, mark_shared, repair_isbn, strip_hyphens
 from tallyloom.operators import checks, cleaning, lookups, matrix
 from tallyloom.operators import targets as target_ops
-from tallyloom.plans import channels, combined, daily, distributor, ingest, targets, titles
-from tallyloom.sources import readers, schemas, sinks
+from tallyloom.plans import channels, combined, daily, distributor, ingest, monthly, targets, titles
+from tallyloom.sources import loads, published, readers, schemas, sinks
 from tallyloom.sources.session import shared_folder
 from workload import relations as rel
 from workload.relations import AS_OF, TARGET_YEAR
@@ -320,8 +320,8 @@ def history_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = rel.raw_sales(spark, sf_dir, spoilt_keys=True)
     path, fact = _as_text(spark, _other_order(raw), "history"), shared_folder(spark, "fact")
     read = readers.read_by_name(spark, path, schemas.RAW_SALES, optional=ingest.DROPPED)
-    sinks.replace_history(tl.reload_history(read, rel.raw_titles(spark, sf_dir)), fact)
-    return matrix.money_as_double(sinks.read_loads(spark, fact))
+    loads.replace_history(tl.reload_history(read, rel.raw_titles(spark, sf_dir)), fact)
+    return matrix.money_as_double(loads.read_loads(spark, fact))
 
 
 def backorder_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,11 +421,11 @@ def ingest_rerun_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history load, then the same monthly load twice; totals per month."""
     path = shared_folder(spark, "fact")
     stored = rel.stored_sales_a(spark, sf_dir, None).select(*schemas.STORED_SALES.names)
-    sinks.replace_history(stored, path)
+    loads.replace_history(stored, path)
     month = tl.ingest_month(rel.raw_sales(spark, sf_dir), rel.raw_titles(spark, sf_dir))
     for _ in range(2):
-        sinks.write_load(month, path, "2001-07")
-    totals = sinks.read_loads(spark, path).groupBy("YEAR", "MONTH").agg(
+        loads.write_load(month, path, "2001-07")
+    totals = loads.read_loads(spark, path).groupBy("YEAR", "MONTH").agg(
         F.sum(UNITS).alias(UNITS), F.sum(DOLLARS).alias(DOLLARS)
     )
     return matrix.money_as_double(totals)
@@ -560,7 +560,7 @@ def reference_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_folder(spark, "map")
     block = readers.read_block(spark, path, schemas.CATEGORY_MAP_A)
     sinks.replace_if_any(block, out)
-    return readers.read_table(spark, out, schemas.CATEGORY_MAP_A)
+    return published.read_published(spark, out, schemas.CATEGORY_MAP_A)
 
 
 def channel_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -612,11 +612,11 @@ def _full_refresh(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def daily_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_full_refresh(spark, sf_dir)["COMBINED_SALES_REPORT"])
+    return spark.read.parquet(_full_refresh(spark, sf_dir)["COMBINED_SALES_REPORT"].path)
 
 
 def daily_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_full_refresh(spark, sf_dir)["TARGET_REPORT"])
+    return spark.read.parquet(_full_refresh(spark, sf_dir)["TARGET_REPORT"].path)
 
 
 def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -640,16 +640,164 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     rolling = {"COMBINED_SALES_REPORT": "12M_UNITS", "TARGET_REPORT": "12M_ROLLING_ACTUAL"}
     return checks.union_all(
         [
-            spark.read.parquet(path).agg(
+            spark.read.parquet(stored.path).agg(
                 F.lit(name).alias("REPORT"),
                 F.count(F.lit(1)).alias("N_ROWS"),
                 F.sum(rolling[name]).alias("TOTAL_12M"),
+                F.lit(stored.totals["N_ROWS"]).cast("bigint").alias("SEEN_ROWS"),
+                F.lit(stored.totals[rolling[name]]).cast("bigint").alias("SEEN_12M"),
             )
-            for name, path in written.items()
+            for name, stored in written.items()
         ]
     )
 
 
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Both channels' facts by load: history up to June, then July and what is later."""
+    facts = []
+    for stored, schema in (
+        (rel.stored_sales_a(spark, sf_dir), schemas.STORED_SALES),
+        (rel.stored_sales_s(spark, sf_dir), schemas.STORED_SALES_S),
+    ):
+        path, july = shared_folder(spark, "fact"), F.expr("YEAR = 2001 AND MONTH >= 7")
+        stored = sinks.written(stored.select(*(F.col(f"`{n}`") for n in schema.names)), "sales")
+        loads.replace_history(stored.filter(~july), path)
+        loads.write_load(stored.filter(july), path, "2001-07")
+        facts.append(path)
+    return tuple(facts)
+
+
+def _refresh_loads(
+    spark: SparkSession, sf_dir: str, facts: tuple[str, str], sums: str, **options
+) -> dict[str, sinks.Stored]:
+    return daily.refresh_from_loads(
+        spark,
+        *facts,
+        sums,
+        {
+            "CATEGORY_MAP_A": rel.category_map_a(spark, sf_dir),
+            "CATEGORY_MAP_S": rel.category_map_s(spark, sf_dir),
+            "NAME_MAP": rel.name_map(spark, sf_dir),
+        },
+        rel.targets(spark, sf_dir),
+        rel.products(spark, sf_dir),
+        rel.locations(spark, sf_dir),
+        shared_folder(spark, "daily"),
+        AS_OF,
+        TARGET_YEAR,
+        rollup=rel.rollup(spark, sf_dir),
+        without="Customer#0000000%",
+        **options,
+    )
+
+
+def loads_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined report from sums by load, the second load met by a second refresh."""
+    facts, sums = _two_loads(spark, sf_dir), shared_folder(spark, "sums")
+    for path, name, shape in zip(facts, "as", (monthly.SHAPE_A, monthly.SHAPE_S), strict=True):
+        first = loads.entries(spark, path)[0].load_id
+        stored = loads.read_loads(spark, path, shape.fact, load_ids=[first])
+        published.publish(monthly.monthly_sums(stored, shape), f"{sums}/{name}/{first}")
+    return spark.read.parquet(_refresh_loads(spark, sf_dir, facts, sums)["COMBINED_SALES_REPORT"].path)
+
+
+def loads_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target report as it was before July came in wrong and history was lost."""
+    facts, sums = _two_loads(spark, sf_dir), shared_folder(spark, "sums")
+    for path, schema in zip(facts, (schemas.STORED_SALES, schemas.STORED_SALES_S), strict=True):
+        wrong = loads.read_loads(spark, path, schema).filter("MONTH % 2 = 1")
+        loads.write_load(wrong.withColumn(UNITS, F.col(UNITS) + 1), path, "2001-07")
+        loads.replace_history(wrong.limit(10), path)
+    found = _refresh_loads(spark, sf_dir, facts, sums, as_of_loads=(2, 2))
+    return spark.read.parquet(found["TARGET_REPORT"].path)
+
+
+def loads_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of a month that comes again: by its name, by another, corrected."""
+    path = shared_folder(spark, "fact")
+    month = sinks.written(
+        rel.stored_sales_a(spark, sf_dir, None).select(*schemas.STORED_SALES.names)
+        .filter("YEAR = 2001 AND MONTH = 6"), "sales",
+    )
+    rows = []
+    for step, name, load in (
+        ("first", "2001-06", month),
+        ("again", "2001-06", month.orderBy(F.desc("ISBN"))),
+        ("other name", "june", month.repartition(3)),
+        ("corrected", "2001-06", month.filter("MONTH = 6 AND NETUNITS > 0")),
+        ("rest", "2001-06-returns", month.filter("NOT NETUNITS > 0")),
+    ):
+        try:
+            loads.write_load(load, path, name)
+            taken = "taken"
+        except loads.RepeatedLoad:
+            taken = "refused"
+        seen = loads.read_loads(spark, path).agg(F.count(F.lit(1)).alias("N_ROWS"), F.sum(UNITS).alias(UNITS))
+        rows.append(seen.select(F.lit(step).alias("STEP"), F.lit(taken).alias("LOAD"), "N_ROWS", UNITS))
+    return checks.union_all(rows)
+
+
+def published_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that was replaced by one made from itself, read as of its first version."""
+    path = shared_folder(spark, "report")
+    first = published.publish(report_titles(spark, sf_dir), path)
+    schema = spark.read.parquet(first).schema
+    published.publish(published.read_published(spark, path, schema).limit(3), path)
+    return published.read_published(spark, path, schema, version=1)
+
+
+def _spoilt_file(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw lines of which some have an unreadable amount, and short lines among them."""
+    raw = rel.raw_sales(spark, sf_dir)
+    unreadable = F.col("EAN").cast("bigint") % 10 == 3
+    amount = F.when(unreadable, "n/a").otherwise(F.col("Net Invc").cast("string"))
+    spoilt = _other_order(raw.withColumn("Net Invc", amount))
+    white_space = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines = spoilt.select(F.to_csv(F.struct("*"), white_space)).union(
+        rel.table(spark, sf_dir, "supplier").select(F.concat(F.lit("total,"), "s_name"))
+    )
+    path = shared_folder(spark, "raw")
+    # a header in every file, and lines as they are
+    plain = white_space | {"header": "true", "sep": "\x01", "escapeQuotes": "false"}
+    lines.toDF(",".join(spoilt.columns)).write.options(**plain).csv(path)
+    return readers.read_or_set_aside(spark, path, schemas.RAW_SALES, optional=ingest.DROPPED)
+
+
+def ingest_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest of a file with bad lines, which are set aside."""
+    rows, _ = _spoilt_file(spark, sf_dir)
+    return matrix.money_as_double(tl.ingest_month(rows, rel.raw_titles(spark, sf_dir)))
+
+
+def unreadable_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Its checks, with the number of lines set aside."""
+    rows, set_aside = _spoilt_file(spark, sf_dir)
+    cleaned = ingest.clean_rows(rows, rel.raw_titles(spark, sf_dir))
+    return matrix.money_as_double(tl.ingest_checks(cleaned, set_aside))
+
+
+def unreadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, set_aside = _spoilt_file(spark, sf_dir)
+    return set_aside.groupBy("REASON").agg(F.count(F.lit(1)).alias("N_LINES"))
+
+
+def few_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of the stored fact for the parts of one size, by a condition on its scan."""
+    path = shared_folder(spark, "fact")
+    stored = rel.stored_sales_a(spark, sf_dir, None).select(*schemas.STORED_SALES.names)
+    loads.replace_history(stored, path)
+    wanted = rel.products(spark, sf_dir).filter("PUB_STATUS = 17 AND TITLE LIKE '%a%'")
+    fact = lookups.restrict_to_few(loads.read_loads(spark, path), wanted, "ISBN")
+    return fact.groupBy("ISBN", "YEAR", "MONTH").agg(F.sum(UNITS).alias(UNITS))
+
+
+def empty_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup that doesn't exist: every sale stays, with a null category."""
+    facts = rel.stored_sales_a(spark, sf_dir, None)
+    mapped = distributor.add_category(facts, readers.empty(spark, schemas.CATEGORY_MAP_A))
+    return mapped.groupBy("NAMECUST", "SALES_CATEGORY").agg(F.sum(UNITS).alias(UNITS))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -715,5 +863,14 @@ QUERIES: dict[str, Query] = {
         daily_refresh,
         daily_combined,
         daily_targets,
+        loads_combined,
+        loads_replayed,
+        loads_repeated,
+        published_version,
+        ingest_unreadable,
+        unreadable_checks,
+        unreadable_lines,
+        few_products,
+        empty_lookup,
     )
 }

@@ -623,14 +623,15 @@ GROUP BY 1, 2""",
   SELECT * REPLACE (CASE WHEN is_a THEN {MAPPED_NAME} ELSE c_name END AS "NAMECUST")
   FROM (SELECT recent.*, c_mktsegment, c_name FROM recent
         JOIN customer ON recent.c_custkey = customer.c_custkey))""",
-        body=f"""SELECT 'COMBINED_SALES_REPORT' AS "REPORT",
+        body=f"""SELECT *, "N_ROWS" AS "SEEN_ROWS", "TOTAL_12M" AS "SEEN_12M" FROM (
+SELECT 'COMBINED_SALES_REPORT' AS "REPORT",
        count(DISTINCT ("ISBN", "TITLE", "NAMECUST", "SALES_CATEGORY")) AS "N_ROWS",
        CAST(sum("NETUNITS") FILTER (WHERE ym >= {LAST_12[0]}) AS BIGINT) AS "TOTAL_12M"
 FROM named
 UNION ALL
 SELECT 'TARGET_REPORT', count(DISTINCT ("NAMECUST", "SALES_CATEGORY")),
        CAST(sum(CAST(trunc("NETAMT") AS BIGINT)) FILTER (WHERE ym >= {LAST_12[0]}) AS BIGINT)
-FROM named""",
+FROM named)""",
     ),
 }
 
@@ -688,3 +689,48 @@ WHERE is_a GROUP BY 1, 2, 3, 4, 5, 6""",
         body=TARGET_REPORT.replace("FROM recent r", "FROM named r"),
     ),
 }
+
+# Raw lines whose amount can be read.
+READABLE = "FROM sales WHERE l_partkey % 10 <> 3\n)"
+
+ORACLE |= {
+    "loads_combined": ORACLE["daily_combined"],
+    "loads_replayed": ORACLE["daily_targets"],
+    "loads_repeated": _with(
+        SALES,
+        'june AS (SELECT count(*) AS n, CAST(sum("NETUNITS") AS BIGINT) AS units, '
+        'count(*) FILTER (WHERE "NETUNITS" > 0) AS n_sold, '
+        'CAST(sum("NETUNITS") FILTER (WHERE "NETUNITS" > 0) AS BIGINT) AS sold '
+        "FROM sales WHERE is_a AND ym = 200106)",
+        body="""SELECT 'first' AS "STEP", 'taken' AS "LOAD", n AS "N_ROWS", units AS "NETUNITS" FROM june
+UNION ALL SELECT 'again', 'taken', n, units FROM june
+UNION ALL SELECT 'other name', 'refused', n, units FROM june
+UNION ALL SELECT 'corrected', 'taken', n_sold, sold FROM june
+UNION ALL SELECT 'rest', 'taken', n, units FROM june""",
+    ),
+    "published_version": ORACLE["report_titles"],
+    "ingest_unreadable": ORACLE["ingest_month"].replace("FROM sales\n)", READABLE),
+    "unreadable_checks": ORACLE["ingest_checks"].replace("FROM sales\n)", READABLE)
+    + """
+UNION ALL
+SELECT 'UNREADABLE_LINES', CAST((SELECT count(*) FROM sales WHERE l_partkey % 10 = 3)
+  + (SELECT count(*) FROM supplier) AS DOUBLE)""",
+    "unreadable_lines": _with(
+        SALES,
+        body="""SELECT 'Net Invc' AS "REASON", count(*) AS "N_LINES" FROM sales WHERE l_partkey % 10 = 3
+UNION ALL
+SELECT 'number of fields', count(*) FROM supplier""",
+    ),
+    "few_products": _with(
+        SALES,
+        body="""SELECT "ISBN", "YEAR", "MONTH", CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS"
+FROM sales WHERE is_a AND l_partkey IN
+  (SELECT p_partkey FROM part WHERE p_size = 17 AND p_name LIKE '%a%')
+GROUP BY 1, 2, 3""",
+    ),
+    "empty_lookup": _with(
+        SALES,
+        body="""SELECT "NAMECUST", CAST(NULL AS VARCHAR) AS "SALES_CATEGORY",
+       CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS" FROM sales WHERE is_a GROUP BY 1""",
+    ),
+}

@@ -23,6 +23,7 @@ TARGET_YEAR = 2001
 # find them out.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
     " c_mktsegment string",
