@@ -33,6 +33,11 @@ def fold(text: str | None) -> str:
     return " ".join((text or "").translate(_FOLDED).split())
 
 
+def bounded(folded: str) -> str:
+    """A folded text between spaces, so that items are met at word boundaries."""
+    return f" {folded} " if folded else ""
+
+
 def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     """The item cut into budget + 1 pieces, with their places.
 
@@ -50,24 +55,22 @@ def masks_of(pattern: str) -> dict[str, int]:
     return where
 
 
-def prefix_distance(
-    where: dict[str, int], skip: int, size: int, text: str, budget: int
-) -> tuple[int, int] | None:
-    """The least edit distance of a pattern to a prefix of the text, and its length.
+def nearest(
+    where: dict[str, int], size: int, text: str, start: int, stop: int, *, back: bool = False
+) -> tuple[int, int]:
+    """The least edit distance of a pattern to a stretch of the text, and where that ends.
 
-    The pattern is what follows `skip` characters of the one that `where` was made
-    for, `size` characters. Myers' bit vectors: a column of the distance matrix in
-    two whole numbers, a few operations for each character. None beyond the
-    budget; stops as soon as the characters left can't bring the distance back.
+    The stretch may begin anywhere from `start` on and ends by `stop`, at the first place
+    of several. With `back` it is read from `stop` to `start`, has to begin at `stop`, and
+    `where` is of the reversed pattern. Myers' bit vectors: a column of the distance
+    matrix in two whole numbers, a few operations for each character.
     """
-    if not size:
-        return 0, 0
     full, top = (1 << size) - 1, 1 << (size - 1)
     plus, minus, score = full, 0, size
-    best = (size, 0)
-    last = min(len(text), size + budget)
-    for j in range(last):
-        match = where.get(text[j], 0) >> skip
+    best, at = size, stop if back else start
+    grown = 1 if back else 0
+    for j in range(stop - 1, start - 1, -1) if back else range(start, stop):
+        match = where.get(text[j], 0)
         x = match | minus
         d = (((match & plus) + plus) ^ plus) | match
         up, down = minus | ~(d | plus) & full, plus & d
@@ -75,13 +78,11 @@ def prefix_distance(
             score += 1
         elif down & top:
             score -= 1
-        up, down = (up << 1 | 1) & full, (down << 1) & full
+        up, down = (up << 1 | grown) & full, (down << 1) & full
         plus, minus = down | ~(x | up) & full, up & x
-        if score < best[0]:
-            best = score, j + 1
-        elif score - (last - j - 1) > budget:
-            break
-    return best if best[0] <= budget else None
+        if score < best:
+            best, at = score, j if back else j + 1
+    return best, at
 
 
 class Items:
@@ -90,51 +91,61 @@ class Items:
     def __init__(self, items: list[tuple], error_rate: float) -> None:
         self.items: list[tuple] = []
         self.masks: list[tuple[dict[str, int], dict[str, int]]] = []
-        places: dict[str, list[tuple[int, int, int]]] = {}
+        places: dict[str, dict[int, tuple[int, int]]] = {}
         for item_id, text in items:
             folded = fold(text)
             if not folded:
                 continue
             budget = int(len(folded) * error_rate)
-            number = len(self.items)
-            self.items.append((item_id, len(folded), budget))
-            self.masks.append((masks_of(folded), masks_of(folded[::-1])))
-            for at, piece in pieces(folded, budget):
-                places.setdefault(piece, []).append((number, at, len(piece)))
+            number, item = len(self.items), bounded(folded)
+            self.items.append((item_id, len(item), budget))
+            self.masks.append((masks_of(item), masks_of(item[::-1])))
+            for at, piece in pieces(item, budget):
+                own = places.setdefault(piece, {})
+                own[number] = (own.get(number, (at,))[0], at)
         self.search = ahocorasick.Automaton()
-        for piece, found in places.items():
-            self.search.add_word(piece, found)
+        for piece, own in places.items():
+            self.search.add_word(
+                piece, [(number, len(piece), *ends) for number, ends in own.items()]
+            )
         if places:
             self.search.make_automaton()
 
     def matches(self, text: str | None) -> dict[int, tuple[int, int, int]]:
-        """By item number: the least distance with start and end in the folded text."""
+        """By item number: the least distance with start and end in the folded text.
+
+        A hit says where the item would start, give or take its budget. Hits of an item
+        that may belong together make one window, and each window is read once, so that
+        text that repeats itself costs no more than its length.
+        """
         best: dict[int, tuple[int, int, int]] = {}
         if not self.items:
             return best
-        folded = fold(text)
-        for end, found in self.search.iter(folded):
-            for number, at, size in found:
+        whole = bounded(fold(text))
+        windows: dict[int, list[list[int]]] = {}
+        for end, found in self.search.iter(whole):
+            for number, size, first, last in found:
                 _, length, budget = self.items[number]
-                start, rest = end - size + 1, length - at - size
-                known = best.get(number)
-                if known and known[0] == 0:
-                    continue
-                room = budget if known is None else min(budget, known[0] - 1)
-                onward, back = self.masks[number]
-                after = folded[end + 1 : end + 1 + rest + room]
-                right = prefix_distance(onward, at + size, rest, after, room)
-                if right is None:
-                    continue
-                room -= right[0]
-                before = folded[max(0, start - at - room) : start][::-1]
-                left = prefix_distance(back, length - at, at, before, room)
-                if left is not None:
-                    best[number] = (
-                        left[0] + right[0],
-                        start - left[1],
-                        end + 1 + right[1],
-                    )
+                start = end - size + 1
+                low, high = start - last - budget, start - first + length + budget
+                own = windows.setdefault(number, [])
+                while own and own[-1][1] >= low:
+                    before = own.pop()
+                    low, high = min(low, before[0]), max(high, before[1])
+                own.append([low, high])
+        for number, own in windows.items():
+            _, length, budget = self.items[number]
+            onward, back = self.masks[number]
+            least, at = budget + 1, 0
+            for low, high in own:
+                found = nearest(onward, length, whole, max(low, 0), min(high, len(whole)))
+                if found[0] < least:
+                    least, at = found
+            if least <= budget:
+                reach = max(0, at - length - least)
+                start = nearest(back, length, whole, reach, at, back=True)[1]
+                # without the spaces around the item
+                best[number] = (least, start, max(start, at - 2))
         return best
 
 
@@ -158,8 +169,9 @@ def find_items(
 
     doc_id, item_id, distance, budget, and start and end in the folded text of the
     nearest place. An item's budget is its folded length times `error_rate`,
-    rounded down. All its pieces are looked for in the whole text at once; around
-    each exact hit, what stands right and left of the piece is verified.
+    rounded down. All its pieces are looked for in the whole text at once; the windows
+    around exact hits are verified. Items are met at word boundaries: "cat" isn't in
+    "concatenate", though a boundary may be one of an item's errors.
 
     Null and empty texts hold nothing; null and empty items, and such without a
     letter or digit, are held by nothing. A row repeated gives its rows again; of

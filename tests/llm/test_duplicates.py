@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -199,13 +200,13 @@ def test_decontamination_query_against_brute_force(spark):
     found = entry.queries()["op6_decontamination"](spark, SF_DIR).collect()
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
-    items = [(r["item_id"], decontamination.fold(r["text"])) for r in items]
+    items = [(r["item_id"], f" {decontamination.fold(r['text'])} ") for r in items]
     expected = set()
     for d in docs:
-        text = decontamination.fold(d["text"])
+        text = f" {decontamination.fold(d['text'])} "
         for item_id, item in items:
             # no match without a piece, so only texts with a common piece are measured
-            budget = int(len(item) * decontamination.ERROR_RATE)
+            budget = int((len(item) - 2) * decontamination.ERROR_RATE)
             if any(p in text for _, p in decontamination.pieces(item, budget)):
                 distance = slow_distance(item, text)
                 if distance <= budget:
@@ -238,3 +239,29 @@ def test_edited_items_are_found(spark, documents):
         assert clean.columns == docs.columns and clean.count() == len(rows) - len(expected)
     assert decontamination.find_items(docs.limit(0), benchmark).count() == 0
     assert decontamination.without_items(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def test_repeated_text_is_read_once_a_window(spark, documents):
+    """Texts of an item's own words over and over, and the item's place in them."""
+    rng = random.Random(3)
+    item = "abcd " * 100
+    search = decontamination.Items([(1, item)], decontamination.ERROR_RATE)
+    began = time.perf_counter()
+    broken = " ".join("abcd" if rng.random() < 0.9 else "xyz" for _ in range(100_000))
+    found = search.matches(broken)
+    assert time.perf_counter() - began < 60
+    near = [" ".join("abcd" if rng.random() < p else "xyz" for _ in range(160)) for p in (0.8, 0.9, 0.95, 0.99, 1)]
+    for text in near:
+        distance = slow_distance(f" {decontamination.fold(item)} ", f" {text} ")
+        found = search.matches(text)
+        assert found.get(0, (None,))[0] == (distance if distance <= 39 else None)
+        if found:
+            _, start, end = found[0]
+            assert slow_distance(f" {decontamination.fold(item)} ", f" {text[start:end]} ") == distance
+
+
+def test_short_items_are_met_at_word_boundaries(spark, documents):
+    docs = documents((1, "concatenate"), (2, "The CAT!"), (3, "cat"), (4, "a cat sat"), (5, "scat cats"))
+    items = spark.createDataFrame([(1, "cat"), (2, "a")], "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"], r["start"], r["end"]) for r in decontamination.find_items(docs, items).collect()}
+    assert found == {(2, 1, 4, 7), (3, 1, 0, 3), (4, 1, 2, 5), (4, 2, 0, 1)}
