@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -56,12 +57,10 @@ MARKUP_OUT, MARKUP_IN, UNDECIDED = 0, 1, 2
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 
 _NAME = re.compile(r"[a-z0-9]+")
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
-)
+# What may begin a tag: a comment, a declaration, or a name, closing or not.
+_BEGINS = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+# The rest of a tag in which quotes may hold a ">"; never gone back on.
+_QUOTED_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])|display\s*:\s*none", re.IGNORECASE)
 
@@ -71,11 +70,13 @@ class _Lines:
 
     def __init__(self) -> None:
         self.open: list[tuple[str, bool, bool]] = []  # tag, outside, within main
+        self.names: Counter[str] = Counter()  # of what is open
         self.outside = self.main = False
         self.parts: list[str] = []
         self.lines: list[tuple[str, int]] = []
 
     def shorten(self, at: int) -> None:
+        self.names.subtract(tag for tag, *_ in self.open[at:])
         del self.open[at:]
         _, self.outside, self.main = self.open[-1] if self.open else ("", False, False)
 
@@ -108,12 +109,15 @@ class _Lines:
         if not inline or (outside, main) != (self.outside, self.main):
             self.end_line()
             self.open.append((tag, outside, main))
+            self.names[tag] += 1
             self.outside, self.main = outside, main
 
     def end(self, tag: str) -> None:
         """Closes the nearest open element of this name and what stands open in it."""
         if tag == "br" or tag == "p":
             self.end_line()
+        if not self.names[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 self.end_line()
@@ -132,14 +136,47 @@ def _marked(attributes: str) -> set[str]:
     return words
 
 
+def _tags(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, slash, name and attributes of each tag; comments have no name.
+
+    One pass at any size and however broken: what has been looked for in vain up to the
+    end of the page isn't looked for again. A quote that is never closed ends a tag at the
+    next ">", and from there on quotes don't count. A caller may send where to go on.
+    """
+    at, quotes = 0, True
+    while found := _BEGINS.search(html, at):
+        comment, declaration, slash, name = found.groups()
+        stop, attributes = -1, ""
+        if comment:
+            stop = html.find("-->", found.end())
+            stop = len(html) if stop < 0 else stop + 3
+        else:
+            whole = _QUOTED_REST.match(html, found.end()) if quotes and not declaration else None
+            if whole:
+                stop = whole.end()
+            else:
+                quotes = quotes and bool(declaration)
+                stop = html.find(">", found.end()) + 1
+                if not stop:  # no tag ends from here on, comments do
+                    at = html.find("<!--", found.end())
+                    if at < 0:
+                        return
+                    continue
+            attributes = html[found.end() : stop - 1]
+        jump = yield found.start(), stop, slash or "", "" if declaration else name or "", attributes
+        at = stop if jump is None else jump
+        if jump is not None:
+            yield  # answers the send
+
+
 def page_lines(html: str | None) -> list[tuple[str, int]]:
     """(text, role) of each block in page order. White space within is one space."""
     html, page, at = html or "", _Lines(), 0
-    while found := _TAG.search(html, at):
-        if found.start() > at:
-            page.parts.append(_decoded(html[at : found.start()]))
-        at = found.end()
-        slash, tag, attributes = found[1] or found[4], found[2] or found[5], found[3] or found[6]
+    tags = _tags(html)
+    for start, stop, slash, tag, attributes in tags:
+        if start > at:
+            page.parts.append(_decoded(html[at:start]))
+        at = stop
         if not tag:
             continue
         tag = tag.lower()
@@ -147,11 +184,12 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
             page.end(tag)
         elif tag in RAW:
             page.end_line()
-            stop = re.compile(f"</{tag}", re.IGNORECASE).search(html, at)
-            at = stop.start() if stop else len(html)
+            ends = re.compile(f"</{tag}", re.IGNORECASE).search(html, at)
+            at = ends.start() if ends else len(html)
+            tags.send(at)
         else:
-            page.start(tag, attributes or "")
-            if attributes and attributes.endswith("/") and tag not in VOID and tag in OUTSIDE:
+            page.start(tag, attributes)
+            if attributes.endswith("/") and tag not in VOID and tag in OUTSIDE:
                 page.end(tag)
     page.parts.append(_decoded(html[at:]))
     page.end_line()

@@ -6,6 +6,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -162,6 +163,23 @@ def test_page_lines():
     assert len(pages.page_lines("<p>x" * 50_000)) == 50_000
 
 
+BROKEN = ['<a href="x ' * 90_000, '<a ">"' * 150_000 + '"', "<div>" * 50_000 + "</p>" * 100_000, "<!" * 500_000,
+          "<a " * 300_000, "<div>" * 100_000 + "</span>" * 100_000, "<a \"'><b '\">" * 80_000]
+
+
+@pytest.mark.parametrize("html", BROKEN, ids=range(len(BROKEN)))
+def test_broken_pages_take_one_pass(html):
+    began = time.perf_counter()
+    pages.page_lines(html)
+    assert time.perf_counter() - began < 20
+
+
+def test_text_behind_broken_tags():
+    assert pages.page_lines('<p>a <b>c<i href="x') == [('a c<i href="x', 2)]
+    assert pages.page_lines('<p title="x>y <b>c</b>') == [("y c", 2)]
+    assert pages.page_lines("<script>x</SCRIPT ><p>b<script>") == [("b", 2)]
+
+
 def test_common_is_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(500):
