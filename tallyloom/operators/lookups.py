@@ -42,6 +42,36 @@ def first_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def first_by_key_hashed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of :func:`first_by_key`, for a big table with few ties.
+
+    Texts can't be hash-aggregated, so that a minimum over rows sorts the whole table. Here
+    a number says how many nulls a row has and where; its minimum per key is
+    hash-aggregated and leaves the rows that have it, equal ones once. Only where
+    different rows of a key are left are values compared.
+    """
+    rest = [name for name in df.columns if name not in keys]
+    if not rest or len(rest) > 50:
+        return first_by_key(df, keys)
+    missing = [F.col(quoted(name)).isNull().cast("bigint") for name in rest]
+    where = reduce(lambda number, bit: number * 2 + bit, missing)
+    ranked = df.withColumn("_rank", reduce(add, missing) * F.lit(1 << len(rest)) + where)
+    staged = {key: f"_key_{n}" for n, key in enumerate(keys)}
+
+    def of(table: DataFrame) -> tuple[DataFrame, Column]:
+        same = [F.col(quoted(key)).eqNullSafe(F.col(name)) for key, name in staged.items()]
+        return table.withColumnsRenamed(staged), reduce(and_, same)
+
+    least, same = of(ranked.groupBy(*all_quoted(keys)).agg(F.min("_rank").alias("_least")))
+    left = ranked.join(least, same & (F.col("_rank") == F.col("_least")), "left_semi")
+    left = left.select(*all_quoted(df.columns)).distinct()
+    counted = left.groupBy(*all_quoted(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    tied, same = of(counted.filter("_n > 1").drop("_n"))
+    return left.join(tied, same, "left_anti").unionByName(
+        first_by_key(left.join(tied, same, "left_semi"), keys)
+    )
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with the number of surplus rows."""
     return (
@@ -123,7 +153,9 @@ def lookup(
       session is told to split also where that costs a later shuffle.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
-    right = table if unique else first_by_key(table, list(pairs.values()))
+    small = measured and fits_broadcast(table, limit)
+    first = first_by_key_hashed if measured and not small else first_by_key
+    right = table if unique else first(table, list(pairs.values()))
     staged = {name: f"_key_{n}" for n, name in enumerate(pairs.values())}
     right = right.withColumnsRenamed(staged)
     found = [name for name in right.columns if name not in staged.values()]
@@ -134,7 +166,7 @@ def lookup(
 
     clauses = [matches(key) for key in pairs]
     left = df
-    if measured and fits_broadcast(table, limit):
+    if small:
         right = F.broadcast(right)
     elif measured:
         hot = hot_keys(df, pairs).withColumnsRenamed({key: f"_hot_{key}" for key in pairs})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,10 +61,12 @@ def build_session(
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``; where that is unset, under the
-    warehouse, which a cluster shares as well. Never under a folder of one machine.
+    It lies under ``spark.checkpoint.dir``, which a cluster has to set. Where it is unset
+    a local session, whose executors are the driver, has it under the warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[(?!.*-cluster)|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediates"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +139,30 @@ def test_restrict_to(pair):
     sales, table = pair
     kept = lookups.restrict_to(sales, table.withColumnRenamed("KEY", "K"), ["K"])
     assert {r["V"] for r in kept.collect()} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "j"]])
+def test_hashed_choice_is_the_sorted_one(spark, keys):
+    """Nulls in keys and values, copies, ties and a key with most of the rows."""
+    rng = random.Random(3)
+    some = lambda *values: rng.choice([None, *values])
+    rows = [
+        (rng.choice(["hot"] * 5 + [None, "a", "b", str(n // 4)]), some("x", "y"), some("t1", "t2", "é"), some(1, 2), some(1.5))
+        for n in range(3000)
+    ]
+    df = spark.createDataFrame(rows + rows[:50], "k string, j string, t string, n int, d double")
+    whole, hashed = (f(df, keys) for f in (lookups.first_by_key, lookups.first_by_key_hashed))
+    assert sorted(map(repr, hashed.collect())) == sorted(map(repr, whole.collect()))
+    only_keys = df.select(*keys)
+    assert lookups.first_by_key_hashed(only_keys, keys).count() == only_keys.distinct().count()
+
+
+def test_big_tables_are_not_sorted_for_their_first_rows(spark):
+    table = spark.range(5000).selectExpr("concat('k', id % 4990) AS k", "concat('t', id) AS t")
+    facts = spark.range(100).selectExpr("concat('k', id) AS k")
+    found = lookups.lookup(facts, table, ["k"], limit=10)
+    assert {(r["k"], r["t"]) for r in found.collect()} == {(f"k{n}", f"t{n}") for n in range(100)}
+    tied = lookups.first_by_key_hashed(table, ["k"])
+    tied.collect()
+    plan = tied._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("SortAggregate")
