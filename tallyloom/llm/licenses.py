@@ -309,11 +309,21 @@ class Scanner:
                 if coverage < self.least or not needed <= covered:
                     continue
                 first, last = low + pairs[0][0], low + pairs[-1][0]
+                if size > NOTICE_WORDS and self._names_a_sibling(words[first : last + 1], wanted):
+                    continue
                 if short and last - first + 1 > size / self.least:
                     continue
                 all_found.append((len(pairs), coverage, first, last, name))
         return self._best(all_found)
 
+    @staticmethod
+    def _names_a_sibling(words: list[str], wanted: Counter) -> bool:
+        """Whether the text has a name of a sibling more often than the license itself.
+
+        Whole licenses of a family differ by little else.
+        """
+        return any(n > wanted[w] for w, n in Counter(w for w in words if w in DISTINCT).items())
+
     @staticmethod
     def _best(all_found: list[tuple[int, float, int, int, str]]) -> dict[str, tuple[float, int, int, int]]:
         """Of two licenses in the same words the one that matches more of them, or else
@@ -391,7 +401,8 @@ def scan_licenses(
     same words the one that matches more of them. Words are letters and digits,
     case ignored. Short notices must also match the words that set them apart, without
     many others between; long ones the numbers and names that tell versions and
-    siblings apart.
+    siblings apart. A text that names a sibling ("Affero", "Lesser") more often than a
+    whole license does isn't that license; a sibling without a template gives no row.
     `first_word` and `last_word` number the document's words from 0.
 
     Null and empty texts hold no license. Repeated rows give their rows again;

@@ -122,8 +122,8 @@ class Matcher:
 
 
 def held_out(doc_id: Column) -> Column:
-    """One in five ids, kept from learning."""
-    return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0
+    """One in five ids, kept from learning; a null id counts as an empty one, which is."""
+    return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
 def _beginnings(rows: DataFrame, wanted: frozenset[str] | None = None) -> DataFrame:
@@ -275,9 +275,16 @@ def training_rows(
 ) -> DataFrame:
     """The labelled documents that may be learned from, about `most_rows` at most.
 
-    Above that a pseudo-random share of the labelled ids is taken.
+    Above that a pseudo-random share of the labelled ids is taken. A label given twice
+    counts once; ids that have both labels, or none that is 0 or 1, teach nothing.
     """
-    usable = labels.select("doc_id", "toxic").where(~held_out(F.col("doc_id"))).distinct()
+    usable = (
+        labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
+        .groupBy("doc_id")
+        .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
+        .where("toxic = other")
+        .drop("other")
+    )
     share = most_rows / max(usable.count(), most_rows)
     chosen = usable.where(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
     # Broadcast: the labels chosen are no more than `most_rows`, or nearly so.

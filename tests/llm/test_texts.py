@@ -57,9 +57,12 @@ def test_toxicity_cases(spark, documents):
     model = toxicity.learn(toxicity.training_rows(docs, none))
     found = toxicity.score(docs, model).collect()
     assert len(found) == 6 and {r["predicted"] for r in found} == {0}
+    assert {r["held_out"] for r in found if r["doc_id"] is None} == {True}
     labels = spark.createDataFrame([(3, 1, 1), (4, 1, None), (77, 1, 1)], none.schema)
     assert toxicity.score(docs, toxicity.learn(toxicity.training_rows(docs, labels))).count() == 6
     assert toxicity.score(docs.limit(0), model).count() == 0
+    both = spark.createDataFrame([(3, 1, 1), (3, 1, 0), (4, 1, 0), (4, 0, 0), (1, 1, 7)], none.schema)
+    assert {r["doc_id"] for r in toxicity.training_rows(docs, both).collect()} == {4}
 
 
 def test_licenses(spark, documents):
@@ -124,6 +127,19 @@ def test_versions_without_a_template_give_no_row():
     assert names_in(licenses.TEMPLATES["Apache-2.0"][3].replace("2.0", "5.5")) == set()
 
 
+def test_whole_texts_of_unknown_siblings_give_no_row():
+    whole = licenses.all_templates()["GPL-3.0"][-1]
+    affero = re.sub(r"(GNU\s+)(General\s+Public\s+License)", r"\1Affero \2", whole, flags=re.IGNORECASE)
+    assert affero != whole and names_in(affero) <= {"AGPL-3.0"}
+    assert names_in("before " + whole + " after, under the lesser evil") == {"GPL-3.0"}
+
+
+def test_very_long_texts_are_scanned_whole():
+    mit = licenses.TEMPLATES["MIT"][3]
+    filler = "permission of the software notice is granted to any person " * 20_000
+    assert names_in(filler + mit + filler) == {"MIT"}
+
+
 def test_notice_is_found_where_its_rarest_word_stands_elsewhere():
     mit = licenses.TEMPLATES["MIT"][3]
     filler = "the quick brown fox jumps over a lazy dog under the moon " * 100
