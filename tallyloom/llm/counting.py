@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Keys that a task holds before it hands counts on.
-MOST_HELD = 4_000_000
+MOST_HELD = 2_000_000
 
 
 class Tally:
