@@ -27,12 +27,14 @@ HOMOGLYPHS = {
 SUBSTITUTES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i",
 }
-# Phrases in which a lexicon word is harmless.
+# Phrases in which a lexicon word is harmless, besides those that are learned.
 EXCEPTIONS = ("trash can", "trash bin", "pond scum", "clown fish", "class clown", "loser bracket")
 
 PREFIX_CHARS = range(3, 9)
 LEXICON_SIZE = 20_000
 CANDIDATES = 200_000
+# Learned phrases of a lexicon word and a neighbour: as many at most.
+PHRASES = 10_000
 # A model is learned from about so many labelled rows at most.
 LEARNED_ROWS = 50_000
 
@@ -165,6 +167,69 @@ def _beginnings(rows: DataFrame, wanted: frozenset[str] | None = None) -> DataFr
     )
 
 
+def _phrases(rows: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """phrase, and in how many documents it occurs by half and label: n00, n01, n10, n11.
+
+    A phrase is a word that the lexicon hits with the word before or after it. A task
+    adds up its own documents before anything moves.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher, counts = Matcher(shared.value, ()), Counter()
+
+        def found() -> pd.DataFrame:
+            keys = pd.DataFrame(list(counts), columns=["phrase", "half", "toxic"])
+            keys["n"] = list(counts.values())
+            counts.clear()
+            return keys
+
+        for frame in frames:
+            for text, half, toxic in zip(frame["text"], frame["half"], frame["toxic"], strict=True):
+                words = fold(text)
+                hits, at = matcher.hits(words), 0
+                phrases = set()
+                for n, word in enumerate(words):
+                    if at in hits:
+                        phrases.update(f"{a} {b}" for a, b in zip(words[max(n - 1, 0) : n + 1], words[max(n, 1) : n + 2], strict=False))
+                    at += len(word) + 1
+                counts.update((phrase, half, toxic) for phrase in phrases)
+                if len(counts) > 400_000:
+                    yield found()
+        yield found()
+
+    return (
+        rows.mapInPandas(tally, "phrase string, half int, toxic int, n bigint")
+        .groupBy("phrase")
+        .agg(
+            *[
+                F.sum(F.when((F.col("half") == h) & (F.col("toxic") == t), F.col("n")).otherwise(0)).alias(f"n{h}{t}")
+                for h in (0, 1) for t in (0, 1)
+            ]
+        )
+    )
+
+
+def harmless_phrases(rows: DataFrame, weights: dict[str, float], others: int, toxic: int) -> tuple[str, ...]:
+    """Phrases in which a lexicon word speaks against toxicity, in either half of the rows.
+
+    That is, at most a quarter as frequent in toxic documents as in the others. The
+    `PHRASES` that most documents have, which bounds the model.
+    """
+    least = max(2, math.ceil(0.0005 * others))
+    speaks_against = [
+        (F.col(f"n{h}0") >= least) & (4 * F.col(f"n{h}1") * (others + 1) <= F.col(f"n{h}0") * (toxic + 1))
+        for h in (0, 1)
+    ]
+    chosen = (
+        _phrases(rows, weights)
+        .where(speaks_against[0] & speaks_against[1])
+        .orderBy(F.desc(F.col("n00") + F.col("n10")), "phrase")
+        .limit(PHRASES)
+    )
+    return tuple(r["phrase"] for r in chosen.collect())
+
+
 def _logistic(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
     """Slope and intercept fitted to (strength, others, toxic) by damped Newton steps."""
     if not bins:
@@ -191,7 +256,8 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Mode
     one half of the rows and does so again in the other, which it wasn't picked
     from. Its weight is its log-odds. The lexicon holds the `LEXICON_SIZE`
     heaviest entries at most, out of the `CANDIDATES` most frequent in toxic
-    documents; that bounds the model, not the rows it is learned from. Rows without
+    documents; that bounds the model, not the rows it is learned from. To the given
+    exceptions come the phrases of `harmless_phrases`. Rows without
     a label are left out; without any, every score is low.
     """
     rows = written(
@@ -223,6 +289,7 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Mode
                 weights[prefix] = math.log(odds)
     heaviest = sorted(weights, key=lambda prefix: (-weights[prefix], prefix))[:LEXICON_SIZE]
     weights = {prefix: weights[prefix] for prefix in heaviest}
+    exceptions = (*exceptions, *harmless_phrases(rows, weights, others, toxic))
     strengths = _strengths(rows, Model(weights, exceptions, 1.0, 0.0), "toxic")
     bins = (
         strengths.groupBy(F.floor(F.least(F.col("strength"), F.lit(100.0)) * 20).alias("bin"))

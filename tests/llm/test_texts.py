@@ -51,6 +51,24 @@ def test_toxicity_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_harmless_phrases_are_learned(spark):
+    """A lexicon word that a neighbour makes harmless, in documents labelled 0."""
+    rng = random.Random(2)
+    words = [f"calm{c}" for c in "abcdefghijklmnop"]
+    rows = []
+    for n in range(600):
+        text = rng.choices(words, k=30)
+        if n % 3 == 0:
+            text.insert(rng.randrange(30), rng.choice(["grobnik", "grobnik you", "vile grobnik"]))
+        elif n % 20 == 1:
+            text.insert(rng.randrange(30), "grobnik pie")
+        rows.append((n, " ".join(text), int(n % 3 == 0)))
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    assert "grobnik pie" in model.exceptions and "grobnik you" not in model.exceptions
+    matcher = toxicity.Matcher(model.weights, model.exceptions)
+    assert matcher.strength("a grobnik pie") == 0 < matcher.strength("a grobnik")
+
+
 def test_toxicity_cases(spark, documents):
     docs = documents((1, None), (2, ""), (None, "idiot"), (3, "idiot"), (3, "idiot"), (4, "x" * 200_000))
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
