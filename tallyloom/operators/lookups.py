@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.names import all_quoted, quoted
+from tallyloom.sources.sinks import written
 
 # A lookup up to this many bytes is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -99,15 +100,15 @@ def hot_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Keys with more rows than an even share of a shuffle partition.
 
     `_places` is the number of such shares that a key fills. There are fewer of
-    these keys than partitions, whatever the size of `df`.
+    these keys than partitions, whatever the size of `df`. `df` is read once; the number
+    of rows of each key is stored.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(1, df.count() // partitions)
-    return (
-        df.groupBy(*all_quoted(keys))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > share)
-        .select(*all_quoted(keys), F.ceil(F.col("_rows") / share).alias("_places"))
+    counted = written(df.groupBy(*all_quoted(keys)).agg(F.count(F.lit(1)).alias("_rows")), "keys")
+    rows = counted.agg(F.sum("_rows")).first()[0] or 0
+    share = max(1, rows // partitions)
+    return counted.filter(F.col("_rows") > share).select(
+        *all_quoted(keys), F.ceil(F.col("_rows") / share).alias("_places")
     )
 
 

@@ -707,6 +707,15 @@ UNION ALL SELECT 'again', 'taken', n, units FROM june
 UNION ALL SELECT 'other name', 'refused', n, units FROM june
 UNION ALL SELECT 'corrected', 'taken', n_sold, sold FROM june
 UNION ALL SELECT 'rest', 'taken', n, units FROM june""",
+    ),
+    "dedupe_first_hashed": ORACLE["dedupe_first"],
+    "skewed_lookup": _with(
+        SALES,
+        body="""SELECT k AS "ISBN", p_name AS "TITLE", CASE WHEN p_size <> 7 THEN p_brand END AS "SUB_PUB",
+       CAST(sum("NETUNITS") AS BIGINT) AS "NETUNITS"
+FROM (SELECT *, CASE WHEN "MONTH" % 3 = 0 THEN '1' ELSE "ISBN" END AS k FROM sales)
+LEFT JOIN part ON k = CAST(p_partkey AS VARCHAR)
+GROUP BY 1, 2, 3""",
     ),
     "published_version": ORACLE["report_titles"],
     "ingest_unreadable": ORACLE["ingest_month"].replace("FROM sales\n)", READABLE),
