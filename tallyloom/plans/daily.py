@@ -141,7 +141,7 @@ def refresh_from_loads(
         (facts_a, "a", SHAPE_A, as_of_loads[0]),
         (facts_s, "s", SHAPE_S, as_of_loads[1]),
     ):
-        keep_sums(spark, facts, f"{sums}/{name}", shape)
+        keep_sums(spark, facts, f"{sums}/{name}", shape, number)
         read.append(read_sums(spark, facts, f"{sums}/{name}", shape, number))
     return refresh_reports(
         spark, *read, maps, targets, products, locations, out, as_of, target_year,

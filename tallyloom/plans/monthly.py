@@ -67,13 +67,16 @@ def monthly_sums(stored: DataFrame, shape: Shape) -> DataFrame:
     )
 
 
-def keep_sums(spark: SparkSession, facts: str, sums: str, shape: Shape) -> list[str]:
+def keep_sums(
+    spark: SparkSession, facts: str, sums: str, shape: Shape, as_of: int | None = None
+) -> list[str]:
     """Store the sums of each load of a fact that has none yet; returns those loads' ids.
 
-    Nothing else of the fact is read. A load never changes, so its sums are final.
+    Of the loads that make up the fact, at present or as of a load number; nothing else of
+    it is read. A load never changes, so its sums are final.
     """
     new = []
-    for entry in entries(spark, facts):
+    for entry in live(entries(spark, facts), as_of):
         load_id = entry.load_id
         if versions(spark, f"{sums}/{load_id}"):
             continue

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,6 +53,14 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(name for name in names if name[0] not in "._")
 
 
+def hours_since(spark: SparkSession, path: str) -> float:
+    """How long ago anything directly in a folder, or the folder, was last changed."""
+    system, place = _system(spark, path), _path(spark, path)
+    times = [system.getFileStatus(place).getModificationTime()]
+    times += [status.getModificationTime() for status in system.listStatus(place)]
+    return (time.time() - max(times) / 1000) / 3600
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The whole of a small file."""
     stream = _system(spark, path).open(_path(spark, path))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.names import all_quoted, quoted
-from tallyloom.sources.files import create_once, names_in, read_text, remove
+from tallyloom.sources.files import create_once, hours_since, names_in, read_text, remove
 from tallyloom.sources.schemas import STORED_SALES
 
 # Column that tells loads apart; also the outermost directory of the fact.
@@ -145,3 +145,19 @@ def read_loads(
     whole = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
     df = spark.read.schema(whole).parquet(f"{path}/{DATA}")
     return df.filter(F.col(LOAD_ID).isin(load_ids)).select(*all_quoted(schema.names))
+
+
+def sweep(spark: SparkSession, path: str, hours: float = 48) -> list[str]:
+    """Delete rows of loads that never came into the ledger; returns their ids.
+
+    They are what failed writes left behind. `hours` is how long nothing must have changed
+    in them, longer than any write takes.
+    """
+    known = {entry.load_id for entry in entries(spark, path)}
+    gone = []
+    for name in names_in(spark, f"{path}/{DATA}"):
+        load_id = name.removeprefix(f"{LOAD_ID}=")
+        if load_id not in known and hours_since(spark, f"{path}/{DATA}/{name}") >= hours:
+            remove(spark, f"{path}/{DATA}/{name}")
+            gone.append(load_id)
+    return gone

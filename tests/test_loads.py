@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -84,6 +85,26 @@ def test_a_write_that_fails_leaves_what_was_there(spark, month, tmp_path):
     with pytest.raises(Exception, match="no disk"):
         loads.write_load(broken, fact, "may")
     assert units(spark, fact) == [("1", 2001, 5, 10)]
+    left = len(files.names_in(spark, f"{fact}/data")) - 1
+    assert loads.sweep(spark, fact) == [] and len(loads.sweep(spark, fact, hours=0)) == left
+    assert len(files.names_in(spark, f"{fact}/data")) == 1 and units(spark, fact) == [("1", 2001, 5, 10)]
+
+
+def test_writers_at_once_all_come_into_the_ledger(spark, month, tmp_path):
+    """Six loads at the same time, two of them with the same rows."""
+    path = str(tmp_path / "fact")
+
+    def write(n):
+        try:
+            return loads.write_load(month((str(n // 2 * 2 if n > 3 else n), 2001, 5, 1)), path, f"load{n}").number
+        except loads.RepeatedLoad:
+            return None
+
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(write, range(6)))
+    taken = sorted(n for n in numbers if n)
+    assert taken == [1, 2, 3, 4, 5] and numbers.count(None) == 1
+    assert len(units(spark, path)) == 5
 
 
 def test_versions_of_a_table(spark, tmp_path):
