@@ -250,9 +250,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = per_print.join(roots, "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
     )
-    named = labelled.join(
-        labelled.groupBy("root").agg(F.min("least").alias("component_id")), "root"
-    ).select("fingerprint", "root", "component_id")
+    # Stored, so that the join reads both sides from a shuffle and can split a hot root.
+    least = written(labelled.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    named = labelled.join(least, "root").select("fingerprint", "root", "component_id")
     return rows.join(named, "fingerprint").select(
         "doc_id", "text_key", "fingerprint", "root", "component_id"
     )
