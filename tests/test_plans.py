@@ -66,3 +66,14 @@ def test_no_cross_join_and_no_python(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in plan
+
+
+def test_a_refresh_reads_the_sales_once(spark, monkeypatch):
+    """Both reports come from one scan; only the stored rollup stands for another."""
+    scans, table = [], rel.table
+    monkeypatch.setattr(rel, "table", lambda *args: scans.append(args[2]) or table(*args))
+    QUERIES["daily_refresh"](spark, SF_DIR).collect()
+    assert scans.count("lineitem") == 1
+    scans.clear()
+    QUERIES["loads_replayed"](spark, SF_DIR).collect()
+    assert scans.count("lineitem") == 2 and scans.count("orders") == 2

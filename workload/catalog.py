@@ -613,8 +613,7 @@ def _full_refresh(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     }
     return daily.daily_refresh(
         spark,
-        rel.stored_sales_a(spark, sf_dir),
-        rel.stored_sales_s(spark, sf_dir),
+        *rel.stored_facts(spark, sf_dir),
         maps,
         rel.targets(spark, sf_dir),
         rel.products(spark, sf_dir),
@@ -639,8 +638,7 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and rolling 12 months of both reports, read back as stored."""
     written = daily.daily_refresh(
         spark,
-        rel.stored_sales_a(spark, sf_dir),
-        rel.stored_sales_s(spark, sf_dir),
+        *rel.stored_facts(spark, sf_dir),
         {
             "CATEGORY_MAP_A": rel.category_map_a(spark, sf_dir),
             "CATEGORY_MAP_S": rel.category_map_s(spark, sf_dir),
@@ -671,12 +669,8 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Both channels' facts by load: history up to June, then July and what is later."""
     facts = []
-    for stored, schema in (
-        (rel.stored_sales_a(spark, sf_dir), schemas.STORED_SALES),
-        (rel.stored_sales_s(spark, sf_dir), schemas.STORED_SALES_S),
-    ):
+    for stored in rel.stored_facts(spark, sf_dir):
         path, july = shared_folder(spark, "fact"), F.expr("YEAR = 2001 AND MONTH >= 7")
-        stored = sinks.written(stored.select(*(F.col(f"`{n}`") for n in schema.names)), "sales")
         loads.replace_history(stored.filter(~july), path)
         loads.write_load(stored.filter(july), path, "2001-07")
         facts.append(path)

@@ -11,7 +11,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.sources.schemas import MONEY
+from tallyloom.functions.names import all_quoted
+from tallyloom.sources.schemas import MONEY, STORED_SALES, STORED_SALES_S
+from tallyloom.sources.sinks import written
 
 # The reporting date, for which the test data has twelve full
 # months, and the year of the targets.
@@ -141,6 +143,26 @@ def stored_sales_s(spark: SparkSession, sf_dir: str, as_of: date | None = AS_OF)
     )
 
 
+def stored_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both channels' facts of the look-back window as tables of their own, from one pass."""
+    stored = written(
+        sales(spark, sf_dir, AS_OF).select(
+            _of_a().alias("_of_a"),
+            *_fact_columns(),
+            F.when(F.col("l_returnflag") == "N", "N").otherwise("Y").alias("IPS Sale"),
+            _text("c_nationkey").alias("HQ Account Number"),
+            _text("c_custkey").alias("SL Account Number"),
+            F.col("o_orderpriority").alias("SL Class of Trade"),
+        ),
+        "facts",
+    )
+    direct = stored.filter(~F.col("_of_a")).withColumnRenamed("SL Account Number", "NEWBILLTO")
+    return (
+        stored.filter("_of_a").select(*all_quoted(STORED_SALES.names)),
+        direct.select(*all_quoted(STORED_SALES_S.names)),
+    )
+
+
 def book_level_sales(spark: SparkSession, sf_dir: str, as_of: date | None = AS_OF) -> DataFrame:
     return both_channels(spark, sf_dir, as_of).select(
         "ISBN", "TITLE", "YEAR", "MONTH", "NETAMT", F.col("NETUNITS").alias("NETQTY")
