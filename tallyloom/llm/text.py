@@ -43,14 +43,15 @@ def seeded(seed: int, column: Column) -> Column:
 
 
 def row_key(rows: DataFrame) -> Column:
-    """128 bits that stand for a whole row, never null; maps count by their entries as they stand."""
+    """128 bits, as text, that stand for a whole row; maps count by their entries as they stand."""
     parts = []
     for field in rows.schema.fields:
         c = F.col(f"`{field.name}`")
         if "map<" in field.dataType.simpleString():
             c = F.to_json(F.struct(c.alias("x")))
         parts += [c.isNull(), c]
-    return F.struct(F.xxhash64(*parts).alias("high"), F.xxhash64(F.lit("low"), *parts).alias("low"))
+    # a struct's fields may be null once it is read back, which costs joins a shuffle
+    return F.concat_ws(":", F.hex(F.xxhash64(*parts)), F.hex(F.xxhash64(F.lit("low"), *parts)))
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
