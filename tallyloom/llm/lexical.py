@@ -21,7 +21,7 @@ MOST = 10
 # Items are held by every task in blocks of about this many bytes.
 BLOCK_BYTES = 4 * 1024 * 1024
 # Scores that a task holds at once, documents times items.
-SCORES_HELD = 1 << 21
+SCORES_HELD = 1 << 18
 # The ranks of a document set are taken in this many parts first.
 PARTS = 256
 
