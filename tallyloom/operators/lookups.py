@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add, and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,14 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
+def splits_hot_keys(spark: SparkSession) -> bool:
+    """True if the runtime splits the partitions of hot keys in joins of this session."""
+    return all(
+        spark.conf.get(f"spark.sql.adaptive.{name}", "true") == "true"
+        for name in ("enabled", "skewJoin.enabled")
+    )
+
+
 def hot_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Keys with more rows than an even share of a shuffle partition.
 
@@ -122,6 +130,11 @@ def _with_places(df: DataFrame, hot: DataFrame, keys: Mapping[str, str]) -> Data
     )
 
 
+def _place(keys: Iterable[str]) -> Column:
+    """A small number that follows from a key; it takes little room in a shuffle."""
+    return F.pmod(F.xxhash64(*all_quoted(keys)), F.lit(256))
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -131,27 +144,32 @@ def lookup(
     measured: bool = True,
     null_safe: bool = False,
     limit: int = BROADCAST_BYTES,
+    place: str | None = None,
 ) -> DataFrame:
     """Left join `table` to `df` without ever adding rows.
 
     `keys` maps columns of `df` to columns of `table` (or names the shared
     ones). All other columns of `table` come along. Unless it is already
     `unique`, the first row per key is used, see :func:`first_by_key`. A null key finds nothing, or the
-    null key with `null_safe`.
+    null key with `null_safe`. `place` names a column for a number that follows from the
+    key: where rows move, they move by the keys and it, so that whoever groups
+    the result by both spares a shuffle.
 
     Strategy, by the size of `table`:
 
     * A stored table is measured first. Up to `limit` bytes it is broadcast.
-      Above that, the keys of `df` are counted. A key with more rows than an even
-      share of the shuffle's partitions is hot: its rows are dealt to as many
-      places as it fills partitions, and only its row of `table` is repeated.
-    * A table that is itself a big query (`measured=False`) is not run twice to
-      be measured. The runtime knows its size once it is shuffled, and then
+    * A bigger one, or one that is itself a big query (`measured=False`) and is not
+      run twice to be measured, is left to the runtime, so that `df` runs and moves once.
+      The runtime knows the table's size once it is shuffled, and then
       broadcasts it or, in the sort-merge join, splits the partitions of hot
       keys. It can only split partitions that come straight from a shuffle,
       while a grouped table would be joined where its grouping left it; the
       second join column, a function of the key, makes Spark shuffle it. The
       session is told to split also where that costs a later shuffle.
+    * Where the session's runtime doesn't split, the keys of `df` are counted for a
+      measured table. A key with more rows than an even share of the shuffle's
+      partitions is hot: its rows are dealt to as many places as it fills
+      partitions, and only its row of `table` is repeated.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
     small = measured and fits_broadcast(table, limit)
@@ -166,10 +184,13 @@ def lookup(
         return left_side.eqNullSafe(right_side) if null_safe else left_side == right_side
 
     clauses = [matches(key) for key in pairs]
+    kept = df.columns
+    if place is not None:
+        df, kept = df.withColumn(place, _place(pairs)), [*kept, place]
     left = df
     if small:
         right = F.broadcast(right)
-    elif measured:
+    elif measured and not splits_hot_keys(df.sparkSession):
         hot = hot_keys(df, pairs).withColumnsRenamed({key: f"_hot_{key}" for key in pairs})
         others = all_quoted(name for name in df.columns if name not in pairs)
         # Equal rows are told apart by their task, which a retry doesn't change.
@@ -183,11 +204,12 @@ def lookup(
         clauses.append(F.col("_salt") == F.col("_copy"))
     else:
         df.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        left = df.withColumn("_of_key", F.xxhash64(*all_quoted(pairs)))
-        right = right.withColumn("_of_found", F.xxhash64(*staged.values()))
-        clauses.append(F.col("_of_key") == F.col("_of_found"))
+        of_key = place or "_of_key"
+        left = df.withColumn(of_key, _place(pairs))
+        right = right.withColumn("_of_found", _place(staged.values()))
+        clauses.append(F.col(of_key) == F.col("_of_found"))
     joined = left.join(right, reduce(and_, clauses), "left")
-    return joined.select(*all_quoted([*df.columns, *found]))
+    return joined.select(*all_quoted([*kept, *found]))
 
 
 def restrict_to(df: DataFrame, keys_from: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -243,14 +265,23 @@ def map_names(df: DataFrame, names: DataFrame, column: str = "NAMECUST") -> Data
 
 
 def fill_from(
-    df: DataFrame, table: DataFrame, keys: Mapping[str, str], column: str, source: str
+    df: DataFrame,
+    table: DataFrame,
+    keys: Mapping[str, str],
+    column: str,
+    source: str,
+    *,
+    place: str | None = None,
 ) -> DataFrame:
-    """Fill nulls of `column` with `source` of the row `table` has for the key."""
+    """Fill nulls of `column` with `source` of the row `table` has for the key.
+
+    `place` is as in :func:`lookup`.
+    """
     filler = table.select(
         *(F.col(quoted(name)) for name in keys.values()), F.col(quoted(source)).alias("_filler")
     )
     return (
-        lookup(df, filler, keys)
+        lookup(df, filler, keys, place=place)
         .withColumn(column, F.coalesce(F.col(quoted(column)), F.col("_filler")))
         .drop("_filler")
     )

@@ -29,11 +29,18 @@ KEYS = [
     "ISBN", "YEAR", "MONTH", "TITLE", "NAMECUST", "IPS Sale",
     "HQ Account Number", "SL Account Number",
 ]
+# A number of the product key, by which rows lie where their title was found.
+PLACE = "_place"
 ACCOUNT_PAIR = ["SL Account Number", "HQ Account Number"]
 
 
 def clean_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> DataFrame:
-    """Raw rows in the shape of the stored fact, not yet grouped.
+    """Raw rows in the shape of the stored fact, not yet grouped; see `placed_rows`."""
+    return placed_rows(raw, titles, repair=repair).drop(PLACE)
+
+
+def placed_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> DataFrame:
+    """Raw rows in the shape of the stored fact, and `PLACE`.
 
     Units are rounded half to even per row. A date that cannot be read leaves
     YEAR and MONTH null. `repair` restores product keys a spreadsheet turned
@@ -46,7 +53,7 @@ def clean_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> Da
         strip(F.col("Z_ID").cast("string")).alias("Z_ID"),
         strip(F.col("LONG_TITLE")).alias("LONG_TITLE"),
     )
-    rows = fill_from(rows, names, {"ISBN": "Z_ID"}, "TITLE", "LONG_TITLE")
+    rows = fill_from(rows, names, {"ISBN": "Z_ID"}, "TITLE", "LONG_TITLE", place=PLACE)
     # A column of its own, so that a date text is examined once for both parts.
     rows = rows.withColumn("_day", raw_date(F.col("Date"))).withColumns(
         {
@@ -56,21 +63,23 @@ def clean_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> Da
             "NETAMT": or_zero(F.col("NETAMT").cast(MONEY)),
         }
     )
-    return rows.select(*all_quoted(STORED_SALES.names))
+    return rows.select(*all_quoted([*STORED_SALES.names, PLACE]))
 
 
 def group_rows(rows: DataFrame) -> DataFrame:
     """One row per key; rows with any part of the key missing are left out.
 
     The class is a text, whose minimum can't be hash-aggregated. Sums by key and
-    class are, and the minimum is taken over their rows.
+    class are, and the minimum is taken over their rows. `PLACE` follows from the product
+    key; with it rows that moved to find their title needn't move again for either sum.
     """
     of_class = "SL Class of Trade"
+    keys = [*KEYS, PLACE] if PLACE in rows.columns else KEYS
     return (
         rows.dropna(subset=KEYS)
-        .groupBy(*all_quoted([*KEYS, of_class]))
+        .groupBy(*all_quoted([*keys, of_class]))
         .agg(F.sum("NETUNITS").alias("NETUNITS"), F.sum("NETAMT").alias("NETAMT"))
-        .groupBy(*all_quoted(KEYS))
+        .groupBy(*all_quoted(keys))
         .agg(
             F.sum("NETUNITS").alias("NETUNITS"),
             F.sum("NETAMT").cast(MONEY).alias("NETAMT"),
@@ -82,12 +91,12 @@ def group_rows(rows: DataFrame) -> DataFrame:
 
 def ingest_month(raw: DataFrame, titles: DataFrame) -> DataFrame:
     """The grouped rows of a monthly file, ready for `write_load`."""
-    return group_rows(clean_rows(raw, titles))
+    return group_rows(placed_rows(raw, titles))
 
 
 def reload_history(raw: DataFrame, titles: DataFrame) -> DataFrame:
     """The grouped rows of a history file, ready for `replace_history`."""
-    return group_rows(clean_rows(raw, titles, repair=True))
+    return group_rows(placed_rows(raw, titles, repair=True))
 
 
 def unmapped_accounts(raw: DataFrame, categories: DataFrame) -> DataFrame:

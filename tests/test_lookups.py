@@ -167,3 +167,28 @@ def test_big_tables_are_not_sorted_for_their_first_rows(spark):
     tied.collect()
     plan = tied._jdf.queryExecution().executedPlan().toString()
     assert plan.index("HashAggregate") < plan.index("SortAggregate")
+
+
+def test_rows_run_once_where_the_runtime_splits_hot_keys(pair, monkeypatch):
+    """A table above the limit doesn't make the session count the keys of the rows first."""
+    sales, table = pair
+    monkeypatch.setattr(lookups, "hot_keys", lambda *_: pytest.fail("rows run twice"))
+    rows = lookups.lookup(sales, table, {"K": "KEY"}, limit=0).collect()
+    assert {tuple(r) for r in rows} == EXPECTED | {(None, 5, None, None)}
+
+
+def test_rows_stay_where_their_key_was_found(spark):
+    rows = spark.range(1000).selectExpr("concat('k', id % 50) AS k", "id % 2 AS part", "id AS v")
+    table = rows.select("k").distinct().withColumn("name", F.upper("k"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        found = lookups.lookup(rows, table, ["k"], limit=0, place="place")
+        sums = found.groupBy("k", "name", "part", "place").agg(F.sum("v").alias("v"))
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
+        expected = rows.groupBy("k", "part").agg(F.sum("v").alias("v"))
+        assert sorted((r["k"], r["part"], r["v"]) for r in sums.collect()) == sorted(map(tuple, expected.collect()))
+    finally:
+        spark.conf.set(threshold, before)
