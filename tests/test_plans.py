@@ -77,3 +77,15 @@ def test_a_refresh_reads_the_sales_once(spark, monkeypatch):
     scans.clear()
     QUERIES["loads_replayed"](spark, SF_DIR).collect()
     assert scans.count("lineitem") == 2 and scans.count("orders") == 2
+
+
+def test_lines_are_not_moved_to_meet_customers(spark):
+    """Orders meet customers before lines do."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        plan = rel.sales(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert "l_orderkey" not in plan[plan.index("hashpartitioning(o_custkey") : plan.index("hashpartitioning(c_custkey")]
