@@ -15,7 +15,7 @@ from tallyloom.sources.schemas import CATEGORY_MAP_S, NAME_MAP, SALES_A, SALES_S
 from tallyloom.sources.sinks import written
 
 
-def _with_accounts(sums: DataFrame, accounts: DataFrame, keys: list[str]) -> DataFrame:
+def with_accounts(sums: DataFrame, accounts: DataFrame, keys: list[str]) -> DataFrame:
     """What is known of an account, on each of its sums. Accounts are stored first."""
     return lookup(sums, written(accounts, "accounts"), keys, unique=True, null_safe=True)
 
@@ -29,7 +29,7 @@ def mapped_a(sums: DataFrame, categories: DataFrame, names: DataFrame) -> DataFr
     keys = accounts.columns
     known = accounts.withColumn("_name", F.col("NAMECUST"))
     known = map_names(add_category(known, categories), conform(names, NAME_MAP), "_name")
-    facts = _with_accounts(sums, known, keys).drop("NAMECUST")
+    facts = with_accounts(sums, known, keys).drop("NAMECUST")
     return facts.withColumnsRenamed(
         {"HQ Account Number": "HQ_NUMBER", "SL Account Number": "SL_NUMBER", "_name": "NAMECUST"}
     ).select(*SALES_A.names, WHOLE, SIZE)
@@ -41,7 +41,7 @@ def mapped_s(sums: DataFrame, categories: DataFrame, *, without: str | None = No
         sums = exclude_customer(sums, without)
     accounts = accounts_of(sums, SHAPE_S).select("NEWBILLTO").distinct()
     known = lookup(accounts, conform(categories, CATEGORY_MAP_S), {"NEWBILLTO": "BILLTO"})
-    facts = _with_accounts(sums, known, ["NEWBILLTO"])
+    facts = with_accounts(sums, known, ["NEWBILLTO"])
     return facts.withColumnsRenamed(
         {"NEWBILLTO": "ACCOUNT_ID", "MASTER SALES CATEGORY": "SALES_CATEGORY"}
     ).select(*SALES_S.names, WHOLE, SIZE)

@@ -7,6 +7,7 @@ import re
 import pytest
 
 from tallyloom.operators import matrix
+from tallyloom.plans import distributor
 from tallyloom.plans.combined import KEYS, buckets
 from workload import relations as rel
 from workload.catalog import QUERIES
@@ -89,3 +90,11 @@ def test_lines_are_not_moved_to_meet_customers(spark):
     finally:
         spark.conf.set(threshold, before)
     assert "l_orderkey" not in plan[plan.index("hashpartitioning(o_custkey") : plan.index("hashpartitioning(c_custkey")]
+
+
+def test_dimensions_are_met_by_accounts(spark, monkeypatch):
+    seen = []
+    add = distributor.add_category
+    monkeypatch.setattr(distributor, "add_category", lambda df, table: seen.append(df.columns) or add(df, table))
+    QUERIES["dimensions_past_nulls"](spark, SF_DIR)
+    assert seen == [["NAMECUST", "SL Account Number", "HQ Account Number"]]

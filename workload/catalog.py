@@ -405,22 +405,31 @@ def dimensions_past_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ISBN", "NAMECUST", "SL Account Number", "HQ Account Number", UNITS
     )
     pair = ["SL Account Number", "HQ Account Number"]
-    rows = distributor.add_category(
-        facts, rel.with_null_rows(rel.category_map_a(spark, sf_dir), pair)
-    )
-    rows = targets.add_city_state(
-        rows, rel.with_null_rows(rel.locations(spark, sf_dir), ["NAMECUST"]), "NAMECUST"
-    )
-    rows = lookups.map_names(rows, rel.with_null_rows(rel.name_map(spark, sf_dir), ["SOURCE_NAME"]))
     products = rel.with_null_rows(rel.products(spark, sf_dir), ["ISBN"])
-    rows = lookups.lookup(rows, products.select("ISBN", "PROD_TYPE"), ["ISBN"])
-    plan = rel.with_null_rows(rel.targets(spark, sf_dir), ["BILLTO"])
-    rows = lookups.lookup(
-        rows, plan.select("BILLTO", "COMPANY"), {"SL Account Number": "BILLTO"}
+    sold = lookups.lookup(facts, products.select("ISBN", "PROD_TYPE"), ["ISBN"])
+    account = ["NAMECUST", *pair]
+    sums = sinks.written(sold.groupBy(*account, "PROD_TYPE").agg(F.sum(UNITS).alias(UNITS)), "sums")
+    # the other tables are met by accounts, once each
+    known = distributor.add_category(
+        sums.select(*account).distinct(),
+        rel.with_null_rows(rel.category_map_a(spark, sf_dir), pair),
+    )
+    known = targets.add_city_state(
+        known, rel.with_null_rows(rel.locations(spark, sf_dir), ["NAMECUST"]), "NAMECUST"
+    )
+    known = lookups.map_names(
+        known.withColumn("_name", F.col("NAMECUST")),
+        rel.with_null_rows(rel.name_map(spark, sf_dir), ["SOURCE_NAME"]),
+        "_name",
     )
-    return rows.groupBy("SALES_CATEGORY", "NAMECUST", "CITY", "STATE", "PROD_TYPE", "COMPANY").agg(
-        F.sum(UNITS).alias(UNITS)
+    plan = rel.with_null_rows(rel.targets(spark, sf_dir), ["BILLTO"])
+    known = lookups.lookup(
+        known, plan.select("BILLTO", "COMPANY"), {"SL Account Number": "BILLTO"}
     )
+    rows = channels.with_accounts(sums, known, account)
+    return rows.drop("NAMECUST").withColumnRenamed("_name", "NAMECUST").groupBy(
+        "SALES_CATEGORY", "NAMECUST", "CITY", "STATE", "PROD_TYPE", "COMPANY"
+    ).agg(F.sum(UNITS).alias(UNITS))
 
 
 def reload_history(spark: SparkSession, sf_dir: str) -> DataFrame:
