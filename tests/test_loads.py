@@ -272,3 +272,12 @@ def test_few_products_pass_over_row_groups(spark, month, tmp_path):
     more = lookups.restrict_to_few(loads.read_loads(spark, path), wanted, "ISBN", most=1)
     assert more.count() == 20
     assert lookups.restrict_to_few(few, wanted.limit(0), "ISBN").count() == 0
+
+
+def test_digest_is_that_of_decimal_sums(spark):
+    """Of many tasks, copies and nulls; a ledger's older entries stay comparable."""
+    rows = spark.range(0, 3000, 1, 7).selectExpr("id % 900 AS i", "if(id % 5 = 0, null, concat('t', id % 11)) AS t")
+    parts = [part for name in ("i", "t") for part in (F.col(name).isNull(), F.col(name))]
+    sums = rows.agg(*(F.sum(F.xxhash64(F.lit(seed), *parts).cast("decimal(38,0)")) for seed in "ab")).first()
+    assert loads.content_digest(rows) == (f"3000:{sums[0]}:{sums[1]}", 3000)
+    assert loads.content_digest(rows.limit(0)) == ("0:0:0", 0)
