@@ -16,42 +16,48 @@ class Tally:
 
     Bounded: when too many keys are held they are merged, and handed on if that leaves
     more than half. The receiver adds up what several tasks or batches say of a key.
+    Columns that follow from a key can go along with it.
     """
 
     def __init__(self, most: int = MOST_HELD) -> None:
         self.most, self.size = most, 0
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
 
-    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None, *others: np.ndarray) -> None:
         """Keys that occur, or keys with their counts."""
         if counts is None:
-            keys, counts = np.unique(keys, return_counts=True)
-        self.parts.append((keys, counts))
+            keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+            others = tuple(column[first] for column in others)
+        self.parts.append((keys, counts, *others))
         self.size += len(keys)
 
-    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in self.parts])
-        counts = np.concatenate([c for _, c in self.parts])
+    def _merged(self) -> tuple[np.ndarray, ...]:
+        keys, counts, *others = map(np.concatenate, zip(*self.parts, strict=True))
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else order
-        return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
+        return (
+            keys[starts],
+            np.add.reduceat(counts, starts) if len(keys) else counts,
+            *(column[order[starts]] for column in others),
+        )
 
-    def overflow(self, name: str) -> Iterator[pa.RecordBatch]:
+    def overflow(self, *names: str) -> Iterator[pa.RecordBatch]:
         """What must go now."""
         if self.size > self.most:
             self.parts = [self._merged()]
             self.size = len(self.parts[0][0])
             if 2 * self.size > self.most:
-                yield from self.rest(name)
+                yield from self.rest(*names)
 
-    def rest(self, name: str) -> Iterator[pa.RecordBatch]:
-        """All that is held, as rows (`name`, n)."""
+    def rest(self, *names: str) -> Iterator[pa.RecordBatch]:
+        """All that is held, as rows (`names`, n): the key, or the columns that go along with it."""
         if self.parts:
-            keys, counts = self._merged()
+            keys, counts, *others = self._merged()
             self.parts, self.size = [], 0
+            columns = [*(others or [keys]), counts]
             for at in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at : at + 100_000].astype(np.int64)), pa.array(counts[at : at + 100_000].astype(np.int64))],
-                    [name, "n"],
+                    [pa.array(column[at : at + 100_000].astype(np.int64)) for column in columns],
+                    [*names, "n"],
                 )

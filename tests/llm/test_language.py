@@ -112,6 +112,30 @@ def test_scores_against_brute_force(spark, documents, monkeypatch, depth, share)
     assert not depth or tree.states
 
 
+@pytest.mark.parametrize("depth, common", [(2, 2e-2), (3, 4e-3), (2, 1.0)])
+def test_sequences_that_are_not_broadcast_are_in_the_tree(spark, documents, monkeypatch, depth, common):
+    """Whatever part of the training tokens a broadcast sequence must have, and with crowded filters."""
+    monkeypatch.setattr(language, "SLICE_BITS", 64)
+    monkeypatch.setattr(language, "MOST_BITS", 256)
+    rng = random.Random(6)
+    words = "a b c d e f g h".split()
+    chain = {w: rng.choices(words, k=2) for w in words}
+    rows = [(900, "one twice told tale"), (901, "one twice told tale"), (902, None)]
+    for i in range(80):
+        word, text = rng.choice(words), []
+        for _ in range(rng.randint(0, 30)):
+            text.append(word if rng.random() < 0.8 else f"r{rng.randrange(40)}")
+            word = rng.choice(chain[word])
+        rows.append((i, " ".join(text)))
+    expected, _ = slow_scores(rows, depth, 0.0)
+    same(language.score(documents(*rows), depth, common=common), expected)
+
+
+def test_no_share_of_the_tokens_is_asked_for():
+    """A cut that grows with the corpus would drop sequences that a small corpus keeps."""
+    assert language.SHARE == 0
+
+
 def test_empty_and_untrained(spark, documents):
     assert language.score(documents((1, "a")).limit(0)).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
