@@ -153,7 +153,8 @@ def lookup(
     `unique`, the first row per key is used, see :func:`first_by_key`. A null key finds nothing, or the
     null key with `null_safe`. `place` names a column for a number that follows from the
     key: where rows move, they move by the keys and it, so that whoever groups
-    the result by both spares a shuffle.
+    the result by both spares a shuffle, and so does a further lookup by the same keys and
+    `place`, which leaves the number as it is.
 
     Strategy, by the size of `table`:
 
@@ -185,7 +186,7 @@ def lookup(
 
     clauses = [matches(key) for key in pairs]
     kept = df.columns
-    if place is not None:
+    if place is not None and place not in df.columns:
         df, kept = df.withColumn(place, _place(pairs)), [*kept, place]
     left = df
     if small:
@@ -205,7 +206,7 @@ def lookup(
     else:
         df.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         of_key = place or "_of_key"
-        left = df.withColumn(of_key, _place(pairs))
+        left = df if place is not None else df.withColumn(of_key, _place(pairs))
         right = right.withColumn("_of_found", _place(staged.values()))
         clauses.append(F.col(of_key) == F.col("_of_found"))
     joined = left.join(right, reduce(and_, clauses), "left")

@@ -29,6 +29,8 @@ from tallyloom.sources.sinks import written
 
 # The key of the report, and below the order of its columns.
 KEYS = ["ISBN", "TITLE", "NAMECUST", "SALES_CATEGORY"]
+# A number of the product key, so that rows move once for all that is looked up by it.
+PLACE = "_place"
 
 
 def facts_of(sales_a: DataFrame, sales_s: DataFrame) -> DataFrame:
@@ -104,10 +106,10 @@ def report_combined(
     if null_keys == "zero":
         report = zero_null_keys(report, KEYS, [bucket.name for bucket in periods])
     if rollup is None:
-        report = lookup(report, everyone, ["ISBN"], unique=True, measured=False)
+        report = lookup(report, everyone, ["ISBN"], unique=True, measured=False, place=PLACE)
     else:
-        report = lookup(report, rollup_columns(rollup), ["ISBN"])
-    report = lookup(report, product_columns(products), ["ISBN"])
+        report = lookup(report, rollup_columns(rollup), ["ISBN"], place=PLACE)
+    report = lookup(report, product_columns(products), ["ISBN"], place=PLACE)
     report = fill_nulls(
         report,
         zero=["ALL_ACCTS_12M_UNITS", "ALL_ACCTS_12M_DOLLARS", "RETAIL"],

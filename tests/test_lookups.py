@@ -192,3 +192,22 @@ def test_rows_stay_where_their_key_was_found(spark):
         assert sorted((r["k"], r["part"], r["v"]) for r in sums.collect()) == sorted(map(tuple, expected.collect()))
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_rows_move_once_for_lookups_by_one_key(spark):
+    rows = spark.range(1000).selectExpr("if(id % 9 = 0, null, concat('k', id % 50)) AS k", "id AS v")
+    keys = rows.select("k").where("k != 'k7'").distinct()
+    upper, length = keys.withColumn("name", F.upper("k")), keys.withColumn("size", F.length("k"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        found = lookups.lookup(rows, upper, ["k"], limit=0, place="place")
+        found = lookups.lookup(found, length, ["k"], limit=0, place="place").drop("place")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # after the outer join and its sort comes the inner join, without a shuffle of its rows
+        assert "Exchange" not in plan[: plan.rindex("SortMergeJoin", 0, plan.index("Range"))]
+        expected = {(k, v, k and k != "k7" and k.upper() or None, len(k) if k and k != "k7" else None) for k, v in map(tuple, rows.collect())}
+        assert {tuple(r) for r in found.collect()} == expected and found.count() == 1000
+    finally:
+        spark.conf.set(threshold, before)
