@@ -100,7 +100,9 @@ def read_or_set_aside(
             reasons.append(
                 F.when(given.isNotNull() & given.try_cast(field.dataType).isNull(), F.lit(field.name))
             )
-    # all fields are asked for, since a line is only checked as far as it is read
+    # all fields are asked for, since a line is only checked as far as it is read; only lines set
+    # aside are put together again
+    size = " + ".join(f"coalesce(octet_length({quoted(name)}), 0)" for name in [*names, BROKEN])
     line = F.coalesce(F.col(BROKEN), F.to_csv(F.struct(*all_quoted(names))))
     reason = F.coalesce(*reasons)
     read = written(
@@ -108,7 +110,7 @@ def read_or_set_aside(
             F.struct(*columns).alias("row"),
             reason.alias("REASON"),
             F.when(reason.isNotNull(), line).alias("LINE"),
-            F.octet_length(line).alias("_size"),
+            F.expr(size).alias("_size"),
             F.when(reason.isNotNull(), F.col("_metadata.file_path")).alias("FILE"),
         ),
         "read",

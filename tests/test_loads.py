@@ -8,6 +8,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators import checks, lookups
 from tallyloom.plans import channels, combined, daily, ingest, monthly, targets
@@ -281,3 +282,16 @@ def test_digest_is_that_of_decimal_sums(spark):
     sums = rows.agg(*(F.sum(F.xxhash64(F.lit(seed), *parts).cast("decimal(38,0)")) for seed in "ab")).first()
     assert loads.content_digest(rows) == (f"3000:{sums[0]}:{sums[1]}", 3000)
     assert loads.content_digest(rows.limit(0)) == ("0:0:0", 0)
+
+
+def test_only_lines_set_aside_are_put_together_again(spark, tmp_path, monkeypatch):
+    (tmp_path / "raw.csv").write_text("EAN,Net Invc\n1,2.5\n2,n/a\n3\n4,1,9\n")
+    stored = []
+    monkeypatch.setattr(readers, "written", lambda df, purpose: stored.append(df) or sinks.written(df, purpose))
+    schema = T.StructType([T.StructField("EAN", T.StringType()), T.StructField("Net Invc", T.DoubleType())])
+    rows, set_aside = readers.read_or_set_aside(spark, str(tmp_path / "raw.csv"), schema)
+    plan = stored[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_csv(") == 1
+    assert [tuple(r) for r in rows.collect()] == [("1", 2.5)]
+    found = {(r["LINE"], r["REASON"]) for r in set_aside.collect()}
+    assert found == {("2,n/a", "Net Invc"), ("3", "number of fields"), ("4,1,9", "number of fields")}
