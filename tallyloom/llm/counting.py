@@ -26,8 +26,11 @@ class Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray | None = None, *others: np.ndarray) -> None:
         """Keys that occur, or keys with their counts."""
         if counts is None:
-            keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
-            others = tuple(column[first] for column in others)
+            order = np.argsort(keys)
+            keys = keys[order]
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else order
+            counts = np.diff(np.append(starts, len(keys)))
+            keys, others = keys[starts], tuple(column[order[starts]] for column in others)
         self.parts.append((keys, counts, *others))
         self.size += len(keys)
 
@@ -42,19 +45,29 @@ class Tally:
             *(column[order[starts]] for column in others),
         )
 
+    def crowded(self) -> bool:
+        """Whether what is held must go now; it is merged first."""
+        if self.size <= self.most:
+            return False
+        self.parts = [self._merged()]
+        self.size = len(self.parts[0][0])
+        return 2 * self.size > self.most
+
+    def taken(self) -> tuple[np.ndarray, ...]:
+        """All that is held, which goes: the keys, their counts and what goes along; empty without any."""
+        found = self._merged() if self.parts else ()
+        self.parts, self.size = [], 0
+        return found
+
     def overflow(self, *names: str) -> Iterator[pa.RecordBatch]:
         """What must go now."""
-        if self.size > self.most:
-            self.parts = [self._merged()]
-            self.size = len(self.parts[0][0])
-            if 2 * self.size > self.most:
-                yield from self.rest(*names)
+        if self.crowded():
+            yield from self.rest(*names)
 
     def rest(self, *names: str) -> Iterator[pa.RecordBatch]:
         """All that is held, as rows (`names`, n): the key, or the columns that go along with it."""
-        if self.parts:
-            keys, counts, *others = self._merged()
-            self.parts, self.size = [], 0
+        if found := self.taken():
+            keys, counts, *others = found
             columns = [*(others or [keys]), counts]
             for at in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_arrays(

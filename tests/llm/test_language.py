@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 
@@ -136,6 +137,17 @@ def test_no_share_of_the_tokens_is_asked_for():
     assert language.SHARE == 0
 
 
+def test_sequences_move_packed_and_tables_go_once_used(spark, documents):
+    """Occurrences aren't rows of a join, and counts don't stay stored beside the tree."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {path.name for path in shared.iterdir()}
+    scores = language.score(documents(*((i, "a b c d a b") for i in range(20))))
+    assert "Generate" not in scores._jdf.queryExecution().executedPlan().toString()
+    stored = {path.name.rsplit("-", 1)[0] for path in shared.iterdir() if path.name not in before}
+    assert stored == {"word-counts", "sequences", "scored", "added"}
+    assert scores.count() == 20
+
+
 def test_empty_and_untrained(spark, documents):
     assert language.score(documents((1, "a")).limit(0)).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
