@@ -49,11 +49,6 @@ def placed_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> D
     rows = rename(strip_strings(raw.drop(*DROPPED)), RENAMED)
     if repair:
         rows = rows.withColumn("ISBN", repair_isbn(F.col("ISBN")))
-    names = titles.select(
-        strip(F.col("Z_ID").cast("string")).alias("Z_ID"),
-        strip(F.col("LONG_TITLE")).alias("LONG_TITLE"),
-    )
-    rows = fill_from(rows, names, {"ISBN": "Z_ID"}, "TITLE", "LONG_TITLE", place=PLACE)
     # A column of its own, so that a date text is examined once for both parts.
     rows = rows.withColumn("_day", raw_date(F.col("Date"))).withColumns(
         {
@@ -62,7 +57,13 @@ def placed_rows(raw: DataFrame, titles: DataFrame, *, repair: bool = False) -> D
             "NETUNITS": or_zero(round_half_even(F.col("NETUNITS"))),
             "NETAMT": or_zero(F.col("NETAMT").cast(MONEY)),
         }
+    ).select(*all_quoted(STORED_SALES.names))
+    names = titles.select(
+        strip(F.col("Z_ID").cast("string")).alias("Z_ID"),
+        strip(F.col("LONG_TITLE")).alias("LONG_TITLE"),
     )
+    # Rows move for their title in the shape they are stored in.
+    rows = fill_from(rows, names, {"ISBN": "Z_ID"}, "TITLE", "LONG_TITLE", place=PLACE)
     return rows.select(*all_quoted([*STORED_SALES.names, PLACE]))
 
 

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from tallyloom.functions.names import all_quoted, quoted
 from tallyloom.sources.files import create_once, hours_since, names_in, read_text, remove
 from tallyloom.sources.schemas import STORED_SALES
+from tallyloom.sources.session import shuffles_go
+from tallyloom.sources.sinks import held
 
 # Column that tells loads apart; also the outermost directory of the fact.
 LOAD_ID = "LOAD_ID"
@@ -93,33 +95,59 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "YEAR", "MONTH").sortWithinPartitions("YEAR", "MONTH", "ISBN")
 
 
+def _refused(present: list[Entry], load: str, digest: str, rows: int) -> Entry | None:
+    """The load that has these rows already; under another name they raise `RepeatedLoad`."""
+    same = next((entry for entry in present if entry.digest == digest and entry.rows), None)
+    if same and same.load != load:
+        raise RepeatedLoad(f"{load} has the {rows} rows of {same.load}")
+    return same
+
+
 def write_load(df: DataFrame, path: str, load: str, *, replaces_all: bool = False) -> Entry:
     """Add a load to the fact, or put it in the place of the one of its name.
 
     Rows of the same months from other loads (late corrections, history) stay, and
     months a corrected file no longer has go. The same rows once more under the same name
     change nothing; under another name they are refused with `RepeatedLoad`.
+
+    A load whose name is there is most likely a rerun. Its rows are stored as they
+    come and compared, and gathered by month only if they differ.
     """
     if not re.fullmatch(r"[A-Za-z0-9_-]+", load):
         raise ValueError(f"a load name has letters, digits, - and _ only: {load!r}")
+    spark = df.sparkSession
+    present = [] if replaces_all else live(entries(spark, path))
+    if any(entry.load == load for entry in present):
+        with held(df, "rerun") as staged:
+            return _refused(present, load, *content_digest(staged)) or _add_load(staged, path, load)
+    return _add_load(df, path, load, replaces_all)
+
+
+def _add_load(df: DataFrame, path: str, load: str, replaces_all: bool = False) -> Entry:
     spark, load_id = df.sparkSession, f"load-{uuid.uuid4().hex}"
     folder = f"{path}/{DATA}/{LOAD_ID}={load_id}"
-    (
-        _by_month(df)
-        .write.partitionBy("YEAR", "MONTH")
-        .option("parquet.bloom.filter.enabled#ISBN", "true")
-        .parquet(folder)
-    )
+    with shuffles_go(spark):
+        (
+            _by_month(df)
+            .write.partitionBy("YEAR", "MONTH")
+            .option("compression", "zstd")
+            .option("parquet.bloom.filter.enabled#ISBN", "true")
+            # as small as a file's products allow, instead of 1 MB for each file
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+            .parquet(folder)
+        )
     digest, rows = content_digest(spark.read.schema(df.schema).parquet(folder))
     while True:
         ledger = entries(spark, path)
-        present = live(ledger)
-        same = [entry for entry in present if entry.digest == digest and entry.rows]
-        if same and not replaces_all:
-            remove(spark, folder)
-            if same[0].load != load:
-                raise RepeatedLoad(f"{load} has the {rows} rows of {same[0].load}")
-            return same[0]
+        if not replaces_all:
+            try:
+                same = _refused(live(ledger), load, digest, rows)
+            except RepeatedLoad:
+                remove(spark, folder)
+                raise
+            if same:
+                remove(spark, folder)
+                return same
         number = ledger[-1].number + 1 if ledger else 1
         entry = Entry(number, load, load_id, digest, rows, replaces_all)
         fields = {name: value for name, value in entry._asdict().items() if name != "number"}

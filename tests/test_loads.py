@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -12,8 +14,9 @@ from pyspark.sql import types as T
 
 from tallyloom.operators import checks, lookups
 from tallyloom.plans import channels, combined, daily, ingest, monthly, targets
-from tallyloom.sources import files, loads, published, readers, schemas, sinks
+from tallyloom.sources import files, loads, published, readers, schemas, session, sinks
 from workload import relations as rel
+from workload.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 AS_OF = date(2001, 8, 15)
@@ -295,3 +298,71 @@ def test_only_lines_set_aside_are_put_together_again(spark, tmp_path, monkeypatc
     assert [tuple(r) for r in rows.collect()] == [("1", 2.5)]
     found = {(r["LINE"], r["REASON"]) for r in set_aside.collect()}
     assert found == {("2,n/a", "Net Invc"), ("3", "number of fields"), ("4,1,9", "number of fields")}
+
+
+def test_a_rerun_is_not_gathered_by_month(spark, month, tmp_path, monkeypatch):
+    """Rows are compared as they come; only those that differ are moved to their months."""
+    path, moved, by_month = str(tmp_path / "fact"), [], loads._by_month
+    monkeypatch.setattr(loads, "_by_month", lambda df: moved.append(df.count()) or by_month(df))
+    monkeypatch.setattr(sinks, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    may, june = [("1", 2001, 5, 10), ("2", 2001, 6, 3), ("2", 2001, 6, 3)], [("3", 2001, 6, 1)]
+    first = loads.write_load(month(*may), path, "may")
+    assert loads.write_load(month(*reversed(may)).repartition(3), path, "may") == first and moved == [3]
+    loads.write_load(month(*june), path, "june")
+    with pytest.raises(loads.RepeatedLoad, match="may"):
+        loads.write_load(month(*may), path, "june")
+    assert moved == [3, 1] and units(spark, path) == sorted(may + june)
+    corrected = loads.write_load(month(*may[:2]), path, "may")
+    assert corrected.number == 3 and moved == [3, 1, 2] and units(spark, path) == sorted(may[:2] + june)
+    assert loads.write_load(month(), path, "may").rows == 0 and units(spark, path) == june
+    assert loads.write_load(month(), path, "may").number == 5
+    loads.replace_history(month(*may), path)
+    assert loads.replace_history(month(*may), path).number == 7 and units(spark, path) == sorted(may)
+    assert not (tmp_path / "rerun").exists()
+
+
+def shuffle_files(spark):
+    """How many lie on the disks of a local session."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+
+def test_rerun_safe_puts_sales_together_once_and_leaves_no_shuffles(spark, tmp_path, monkeypatch):
+    scans, table, left = [], rel.table, []
+    monkeypatch.setattr(rel, "table", lambda *args: scans.append(args[2]) or table(*args))
+    remove = sinks.remove
+    monkeypatch.setattr(sinks, "remove", lambda spark, path: left.append(path) or remove(spark, path))
+    spark._jvm.System.gc()
+    time.sleep(1)
+    before, setting = shuffle_files(spark), spark.conf.get(session.CLEANUP, None)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = QUERIES["ingest_rerun_safe"](spark, SF_DIR)
+        bound = time.time() + 10
+        # lookups and digests, which aren't written, leave a few small ones
+        while shuffle_files(spark) > before + 60 and time.time() < bound:
+            time.sleep(0.2)
+        assert shuffle_files(spark) <= before + 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert scans.count("lineitem") == scans.count("orders") == 1
+    assert spark.conf.get(session.CLEANUP, None) == setting
+    assert len(left) == 3 and not any(os.path.exists(path.removeprefix("file://")) for path in left)
+    assert totals.count() == 80
+
+
+def test_filters_for_products_are_as_small_as_files(spark, month, tmp_path):
+    path = tmp_path / "fact"
+    loads.replace_history(month(*((f"{i:013d}", 2001, 1 + i % 6, i) for i in range(3000))), str(path))
+    sizes = [file.stat().st_size for file in path.rglob("*.parquet")]
+    assert len(sizes) >= 6 and max(sizes) < 200_000
+
+
+def test_the_setting_goes_back_when_the_last_block_ends(spark):
+    before = spark.conf.get(session.CLEANUP, None)
+    with session.shuffles_go(spark):
+        with pytest.raises(ZeroDivisionError), session.shuffles_go(spark):
+            1 / 0
+        assert spark.conf.get(session.CLEANUP) == "true"
+    assert spark.conf.get(session.CLEANUP, None) == before

@@ -443,13 +443,17 @@ def ingest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_rerun_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A history load, then the same monthly load twice; totals per month."""
+    """A history load, then the same monthly load twice; totals per month.
+
+    The sales are put together once for both, and the month's rows once for both loads.
+    """
     path = shared_folder(spark, "fact")
-    stored = rel.stored_sales_a(spark, sf_dir, None).select(*schemas.STORED_SALES.names)
-    loads.replace_history(stored, path)
-    month = tl.ingest_month(rel.raw_sales(spark, sf_dir), rel.raw_titles(spark, sf_dir))
-    for _ in range(2):
-        loads.write_load(month, path, "2001-07")
+    with sinks.held(rel.sales(spark, sf_dir).select(*rel.LINES), "sales") as lines:
+        loads.replace_history(rel.stored_a_of(lines).select(*schemas.STORED_SALES.names), path)
+        ingested = tl.ingest_month(rel.raw_of(lines), rel.raw_titles(spark, sf_dir))
+        with sinks.held(ingested, "month") as month:
+            for _ in range(2):
+                loads.write_load(month, path, "2001-07")
     totals = loads.read_loads(spark, path).groupBy("YEAR", "MONTH").agg(
         F.sum(UNITS).alias(UNITS), F.sum(DOLLARS).alias(DOLLARS)
     )

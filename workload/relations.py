@@ -89,6 +89,14 @@ def sales(spark: SparkSession, sf_dir: str, as_of: date | None = None) -> DataFr
     )
 
 
+# The columns that the stored fact and the raw file are made of.
+LINES = [
+    "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "o_orderdate", "o_orderpriority", "c_custkey", "c_nationkey",
+    "c_name", "p_name",
+]
+
+
 def _fact_columns() -> list[Column]:
     return [
         _text("l_partkey").alias("ISBN"),
@@ -131,7 +139,11 @@ def both_channels(spark: SparkSession, sf_dir: str, as_of: date | None = None) -
 
 def stored_sales_a(spark: SparkSession, sf_dir: str, as_of: date | None = AS_OF) -> DataFrame:
     """Channel A as its stored fact: accounts instead of categories."""
-    return sales(spark, sf_dir, as_of).filter(_of_a()).select(
+    return stored_a_of(sales(spark, sf_dir, as_of))
+
+
+def stored_a_of(lines: DataFrame) -> DataFrame:
+    return lines.filter(_of_a()).select(
         *_fact_columns(),
         F.when(F.col("l_returnflag") == "N", "N").otherwise("Y").alias("IPS Sale"),
         _text("c_nationkey").alias("HQ Account Number"),
@@ -301,6 +313,10 @@ def raw_sales(spark: SparkSession, sf_dir: str, *, spoilt_keys: bool = False) ->
     are unreadable, units carry halves, texts carry white space. With
     `spoilt_keys`, product keys look like numbers a spreadsheet has kept.
     """
+    return raw_of(sales(spark, sf_dir), spoilt_keys=spoilt_keys)
+
+
+def raw_of(lines: DataFrame, *, spoilt_keys: bool = False) -> DataFrame:
     ean = _long_key("l_partkey")
     if spoilt_keys:
         ean = F.concat(ean, F.lit(".0"))
@@ -308,7 +324,7 @@ def raw_sales(spark: SparkSession, sf_dir: str, *, spoilt_keys: bool = False) ->
         "/", F.month("o_orderdate"), F.dayofmonth("o_orderdate"), F.year("o_orderdate")
     )
     units = _signed(F.col("l_quantity") + F.col("l_linenumber") / 2)
-    return sales(spark, sf_dir).select(
+    return lines.select(
         ean.alias("EAN"),
         F.when(F.col("l_partkey") % 7 != 0, F.concat(F.lit("\t"), "p_name", F.lit(" "))).alias(
             "Title"
